@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import components, packing, tokenizer, topk
+from terrane.llm import components, moderation, packing, tokenizer, topk
 from terrane.sources.tables import table
 
 BEST, LINK_PROBA, CAPACITY = 3, 0.5, 2048
@@ -53,7 +53,28 @@ def p8_room(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_room": p8_room}
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, score) of every document."""
+    model = moderation.fit_on(table(spark, sf_dir, "moderation_examples"))
+    return table(spark, sf_dir, "documents").select("doc_id", "source", moderation.score(F.col("text"), model).alias("score"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_scores(spark, sf_dir).where(F.col("score") >= moderation.THRESHOLD).select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, flagged documents and rate of each source (null source kept)."""
+    flagged = F.sum(F.when(F.col("score") >= moderation.THRESHOLD, 1).otherwise(0))
+    return p9_scores(spark, sf_dir).groupBy("source").agg(
+        F.count("*").alias("documents"), flagged.alias("flagged"), (flagged / F.count("*")).alias("rate")
+    )
+
+
+QUERIES = {
+    "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_room": p8_room,
+    "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,
+}
 
 ORACLES = {
     "p4_found": """
