@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import components, moderation, packing, tokenizer, topk
+from terrane.llm import addresses, components, moderation, packing, tokenizer, topk
+from terrane.session import Scratch
 from terrane.sources.tables import table
 
 BEST, LINK_PROBA, CAPACITY = 3, 0.5, 2048
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "sheffield_wp3_edit_geocoding").select("point_fid", *addresses.FIELDS, "x_27700", "y_27700", "edited_at")
+    return addresses.same_place(records, Scratch(spark, "p3"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = topk.newest_version(
         table(spark, sf_dir, "wfs_raw_anchor_group_predictions_v1"), "candidate_id", "exported_at",
@@ -72,7 +78,7 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_room": p8_room,
+    "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_room": p8_room,
     "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,
 }
 
