@@ -64,7 +64,10 @@ _OUTCODE = re.compile(r"\b([a-z]{1,2}[0-9il][0-9ilo]?)\s*$")
 _UNIT = re.compile(r"\(?\b(?:flat|flt|apartment|apt|appt|unit|suite|fl)\b\.?\s*(?:no\.?\s*)?([0-9]+\s*[a-z]?|[a-z])\b\)?")
 _SLASH = re.compile(r"\b([0-9]+[a-z]?)\s*/\s*([0-9]+[a-z]?)\b")
 _RANGE = re.compile(r"\b(?:nos?\.?\s*)?([0-9]+)\s*(?:-|–|—|\bto\b)\s*([0-9]+)\b")
-_NUMBER = re.compile(r"(?:\bno\.?\s*|\bnumber\s*)?\b([0-9]+)(?:\s*-?\s*([a-z])\b(?!\.|'))?\.?")
+_NUMBER = re.compile(
+    r"(?:\bno\.?\s*|\bnumber\s*)?\b([0-9]+)"
+    r"(?:\s*-\s*([a-z])\b|([a-z])\b|\s+([a-df-mo-rtvx-z])\b|\s+([nsewu])\b(?=\.?\s*(?:$|[,)])))?\.?"
+)
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 
 
@@ -150,7 +153,7 @@ def parse(premise: str | None, number: str | None, road: str | None, locality: s
             else:
                 m = _NUMBER.search(text)
                 if m:
-                    num = str(int(m.group(1))) + (m.group(2) or "")
+                    num = str(int(m.group(1))) + next((g for g in m.groups()[1:] if g), "")
         if m:
             fields[i] = text[: m.start()] + " , " + text[m.end() :]
     streets, untyped, places = [], [], []
