@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from terrane.plans import data_queries
+from terrane.plans import data_queries, spatial_queries
 
-FLAGSHIP = "p1_found"
+FLAGSHIP = "point_parcel_count"
 
-QUERIES = {**data_queries.QUERIES}
-ORACLES = {**data_queries.ORACLES}
+MODULES = (data_queries, spatial_queries)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLES = {name: s for m in MODULES for name, s in m.ORACLES.items()}
