@@ -46,7 +46,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("anchor"), F.col("l_linenumber").cast("int").alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
         F.col("l_extendedprice").alias("score"), F.col("l_quantity").alias("size"), (F.col("l_discount") * 10).alias("proba"),
-        (F.col("l_returnflag") == "R").cast("int").alias("label"), F.col("l_shipmode").alias("mode"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), F.concat(F.lit("m"), ((F.col("l_partkey") + F.col("l_linenumber")) % 6).cast("string")).alias("mode"),
     )
 
 
@@ -68,7 +68,7 @@ B = "B AS (SELECT s_suppkey AS pid, CAST((s_suppkey % 40)*10 AS DOUBLE) AS x, CA
 R = """R AS (SELECT CAST(n_nationkey AS BIGINT) AS council_fid, CAST((n_nationkey % 5)*80 AS DOUBLE) AS xmin, CAST((n_nationkey // 5)*100 AS DOUBLE) AS ymin,
   CAST((n_nationkey % 5)*80+80 AS DOUBLE) AS xmax, CAST((n_nationkey // 5)*100+100 AS DOUBLE) AS ymax FROM nation)"""
 C = """C AS (SELECT l_orderkey AS anchor, CAST(l_linenumber AS INTEGER) AS line, l_partkey AS part, l_suppkey AS supp, l_extendedprice AS score, l_quantity AS size,
-  l_discount*10 AS proba, CAST(l_returnflag = 'R' AS INTEGER) AS label, l_shipmode AS mode FROM lineitem)"""
+  l_discount*10 AS proba, CAST(l_returnflag = 'R' AS INTEGER) AS label, 'm' || CAST((l_partkey + l_linenumber) % 6 AS VARCHAR) AS mode FROM lineitem)"""
 #: Points per parcel, borders included.
 CNT = "CNT AS (SELECT p.clean_fid, count(DISTINCT u.uprn) AS n FROM P p LEFT JOIN U u ON u.x BETWEEN p.xmin AND p.xmax AND u.y BETWEEN p.ymin AND p.ymax GROUP BY 1)"
 #: Neighbouring pairs a < b with their contact length and shared area (all collinear pieces of the two borders).
