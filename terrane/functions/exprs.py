@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 def canonical_key(c: Column) -> Column:
     """Null becomes '', a whole number written as decimal its integer text, other text trimmed."""
     text = F.trim(c.cast("string"))
-    number = text.try_cast("double")
-    whole = number.isNotNull() & (number == F.floor(number)) & (F.abs(number) < 9e15)
+    read = text.try_cast("double")
+    number = F.when(F.abs(read) < 9e15, read)
+    whole = number.isNotNull() & (number == F.floor(number))
     return F.when(c.isNull(), "").when(whole, number.cast("bigint").cast("string")).otherwise(text)
 
 
@@ -148,7 +149,7 @@ def ids_to_text(ids: Column) -> Column:
 
 def text_to_ids(text: Column) -> Column:
     """Sorted distinct ids of a pipe text; junk is skipped, null gives an empty array."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\|"), lambda p: F.trim(p).try_cast("double").cast("bigint"))
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\|"), lambda p: F.trim(p).try_cast("double").try_cast("bigint"))
     return F.array_sort(F.array_distinct(F.filter(parts, lambda i: i.isNotNull())))
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from terrane.plans import data_queries, spatial_queries, structure_queries, table_queries
+from terrane.plans import data_queries, io_queries, spatial_queries, structure_queries, table_queries, workflow
 
 FLAGSHIP = "point_parcel_count"
 
-MODULES = (data_queries, spatial_queries, table_queries, structure_queries)
+MODULES = (data_queries, spatial_queries, table_queries, structure_queries, io_queries, workflow)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: s for m in MODULES for name, s in m.ORACLES.items()}
