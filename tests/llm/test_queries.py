@@ -1,0 +1,23 @@
+import os
+
+import duckdb
+import pytest
+
+from terrane.llm import queries
+
+DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(queries.QUERIES))
+def test_query(spark, name):
+    df = queries.QUERIES[name](spark, DIR)
+    cols = sorted(df.columns)
+    rows = sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
+    assert rows
+    if name in queries.ORACLES:
+        con = duckdb.connect()
+        for f in os.listdir(DIR):
+            con.execute(f"create view {f[:-8]} as select * from '{DIR}/{f}'")
+        cur = con.execute(queries.ORACLES[name])
+        at = [[x[0] for x in cur.description].index(c) for c in cols]
+        assert rows == sorted(tuple(str(r[i]) for i in at) for r in cur.fetchall())
