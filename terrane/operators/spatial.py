@@ -17,12 +17,13 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Smallest cell side is 2**MIN_LEVEL metres; a part gets about MAX_CELLS cells, more if it has a long border.
-MIN_LEVEL, MAX_LEVEL, MAX_CELLS = 3, 24, 12
+MIN_LEVEL, MAX_LEVEL, MAX_CELLS = 3, 24, 6
 
 COVER_SCHEMA = (
     "region_id long, level int, cx long, cy long, inside boolean, parity int, "
@@ -192,23 +193,39 @@ def cover_part(edges: list[tuple[float, float, float, float]]) -> list[tuple[int
     return out
 
 
-def _cover_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["region_id", "level", "cx", "cy", "inside", "parity", "edges"]
+_EDGE = pa.struct([pa.field(n, pa.float64()) for n in ("ax", "ay", "bx", "by")])
+_COVER_ARROW = pa.schema(
+    [("region_id", pa.int64()), ("level", pa.int32()), ("cx", pa.int64()), ("cy", pa.int64()), ("inside", pa.bool_()), ("parity", pa.int32()), ("edges", pa.list_(_EDGE))]
+)
+#: Cells per Arrow batch that a task gives out.
+BATCH_CELLS = 20_000
+
+
+def _cover_batch(cells: list[tuple]) -> pa.RecordBatch:
+    """Cells (region_id, level, cx, cy, inside, parity, edges) as one Arrow batch; edges are laid out flat."""
+    columns = list(zip(*cells, strict=True)) if cells else [()] * 7
+    flat = np.array([v for edges in columns[6] for e in edges for v in e], dtype=np.float64).reshape(-1, 4)
+    offsets = np.concatenate(([0], np.cumsum([len(e) for e in columns[6]], dtype=np.int64))).astype(np.int32)
+    edges = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(4)], fields=list(_EDGE)))
+    arrays = [pa.array(c, type=f.type) for c, f in zip(columns[:6], _COVER_ARROW, strict=False)]
+    return pa.RecordBatch.from_arrays([*arrays, edges], schema=_COVER_ARROW)
+
+
+def _cover_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cells: list[tuple] = []
     for batch in batches:
-        rows: list[tuple] = []
-        for rid, wkt in zip(batch["region_id"], batch["wkt"], strict=True):
+        for rid, wkt in zip(batch.column("region_id").to_pylist(), batch.column("wkt").to_pylist(), strict=True):
             for part in parse_parts(wkt):
-                for lv, cx, cy, inside, parity, edges in cover_part(part):
-                    rows.append((rid, lv, cx, cy, inside, parity, [dict(ax=e[0], ay=e[1], bx=e[2], by=e[3]) for e in edges]))
-            if len(rows) > 20_000:
-                yield pd.DataFrame(rows, columns=names)
-                rows = []
-        yield pd.DataFrame(rows, columns=names)
+                cells += [(rid, *cell) for cell in cover_part(part)]
+            if len(cells) >= BATCH_CELLS:
+                yield _cover_batch(cells)
+                cells = []
+    yield _cover_batch(cells)
 
 
 def cover(regions: DataFrame) -> DataFrame:
     """Quadtree cells of distinct regions (region_id, wkt)."""
-    return regions.where(F.col("wkt").isNotNull()).mapInPandas(_cover_batches, COVER_SCHEMA)
+    return regions.where(F.col("wkt").isNotNull()).select("region_id", "wkt").mapInArrow(_cover_batches, COVER_SCHEMA)
 
 
 def covers_expr(px: Column, py: Column, edges: Column, parity: Column) -> Column:
