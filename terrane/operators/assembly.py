@@ -145,6 +145,8 @@ def best_split(members: DataFrame, edges: DataFrame, most: int = 12) -> DataFram
     small, large = sized.where(F.col("_n") <= most).drop("_n"), sized.where(F.col("_n") > most)
 
     def split(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty:
+            return pd.DataFrame({"component": [], "v": [], "part": []}, dtype="int64")
         part = {v: v for v, s in zip(left["v"], left["seed"], strict=True) if s}
         if len(part) < 2:
             only = min(left["v"])
@@ -167,7 +169,7 @@ def best_split(members: DataFrame, edges: DataFrame, most: int = 12) -> DataFram
 
     cut = small.groupBy("component").cogroup(edges.groupBy("component")).applyInPandas(split, "component long, v long, part long") 
     whole = large.groupBy("component").agg(F.min("v").alias("part")).join(large.select("component", "v"), "component").select("component", "v", "part")
-    return cut.where("v is not null").unionByName(whole)
+    return cut.unionByName(whole)
 
 
 def refine(seeds: DataFrame, pool: DataFrame, score: str = "gain", steps: int = 6) -> DataFrame:

@@ -36,11 +36,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cells = scratch.put(spatial.cover(parcels.select("region_id", "wkt").distinct()), "cells")
     levels = sorted(r["level"] for r in cells.select("level").distinct().collect())  # at most 22 levels
-    places = spatial.spots(points)
+    places = scratch.put(spatial.spots(points), "places")
     held = scratch.put(spatial.spots_in_regions(places, cells, levels), "held") if levels else places.select(F.lit(0).cast("long").alias("region_id"), "x", "y").limit(0)
 
-    near = spatial.near_pairs(points, NEAR_METRES).select(F.lit("near").alias("kind"), "left_id", "right_id")
-    point = spatial.near_points(asked, points, POINT_METRES).select(F.lit("point").alias("kind"), F.col("probe_id").alias("left_id"), F.col("id").alias("right_id"))
+    near = spatial.near_pairs(points, NEAR_METRES, places).select(F.lit("near").alias("kind"), "left_id", "right_id")
+    point = spatial.near_points(asked, points, POINT_METRES, places).select(F.lit("point").alias("kind"), F.col("probe_id").alias("left_id"), F.col("id").alias("right_id"))
     inside = held.join(points, ["x", "y"]).select(F.lit("in").alias("kind"), F.col("id").alias("left_id"), F.col("region_id").alias("right_id"))
     counted = held.join(places, ["x", "y"]).groupBy("region_id").agg(F.sum("n").alias("n"))
     recount = (
