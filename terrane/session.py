@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,20 @@ def build_session(app: str = "terrane", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the Python workers of this application, once; needed where they do not have it on their path.
+    The archive is built for the upload only; Spark serves it to the executors itself."""
+    if spark.conf.get("terrane.shipped", None) == spark.sparkContext.applicationId:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="terrane-ship-")) / "terrane.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, str(Path("terrane") / path.relative_to(package)))
+    spark.sparkContext.addPyFile(str(archive))
+    spark.conf.set("terrane.shipped", spark.sparkContext.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share. A cluster names it in ``spark.checkpoint.dir``; only where
     that is unset (tests on one machine) a local folder is made and recorded there."""
