@@ -7,7 +7,7 @@ Points on one spot are joined as one spot and multiplied afterwards.
 
 Defined results
 - borders and exact distances count; the inside of a hole does not;
-- null, NaN or unreadable geometry or coordinates match nothing; empty inputs give empty results;
+- null, NaN or unreadable geometry or coordinates, and those beyond a million kilometres, match nothing; empty inputs give empty results;
 - repeated rows count once.
 """
 
@@ -25,10 +25,14 @@ from pyspark.sql import functions as F
 #: Smallest cell side is 2**MIN_LEVEL metres; a part gets about MAX_CELLS cells, more if it has a long border.
 MIN_LEVEL, MAX_LEVEL, MAX_CELLS = 3, 24, 6
 
-COVER_SCHEMA = (
-    "region_id long, level int, cx long, cy long, inside boolean, parity int, "
-    "edges array<struct<ax:double,ay:double,bx:double,by:double>>"
-)
+COVER_SCHEMA = "region_id long, level int, cell long, inside boolean, parity int, edges array<struct<ax:double,ay:double,bx:double,by:double>>"
+#: A cell is one number: level, column and row, the latter two of 29 bits from the middle on. Coordinates beyond
+#: FARTHEST metres do not fit and are no places.
+HALF, FARTHEST = 1 << 28, 1e9
+
+
+def cell_number(level: int, cx: int, cy: int) -> int:
+    return (level << 58) | ((cx + HALF) << 29) | (cy + HALF)
 
 
 def latest_location(df: DataFrame, key: str, x: str, y: str, at: str) -> DataFrame:
@@ -45,7 +49,7 @@ def latest_location(df: DataFrame, key: str, x: str, y: str, at: str) -> DataFra
 
 
 def has_place(x: Column, y: Column) -> Column:
-    return x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y) & ~((x == 0) & (y == 0))
+    return x.isNotNull() & y.isNotNull() & (F.abs(x) <= FARTHEST) & (F.abs(y) <= FARTHEST) & ~((x == 0) & (y == 0))
 
 
 def spots(points: DataFrame) -> DataFrame:
@@ -57,10 +61,19 @@ def _cell(c: Column, side: float) -> Column:
     return F.floor(c / F.lit(float(side))).cast("long")
 
 
+def _number(cx: Column, cy: Column, level: int = 0) -> Column:
+    return F.lit(level << 58).bitwiseOR(F.shiftleft(cx + HALF, 29)).bitwiseOR(cy + HALF)
+
+
+def _home(x: Column, y: Column, side: float, level: int = 0) -> Column:
+    """The cell of a point."""
+    return _number(_cell(x, side), _cell(y, side), level)
+
+
 def _in_reach(df: DataFrame, side: float, reach: float) -> DataFrame:
     """Each row on every cell that a box of ``reach`` round it touches: 2.25 cells on average for a side of four reaches."""
     span = lambda c: F.explode(F.sequence(_cell(F.col(c) - reach, side), _cell(F.col(c) + reach, side)))
-    return df.withColumn("cx", span("x")).withColumn("cy", span("y"))
+    return df.withColumn("cx", span("x")).withColumn("cy", span("y")).withColumn("cell", _number(F.col("cx"), F.col("cy"))).drop("cx", "cy")
 
 
 def _close(ax: Column, ay: Column, bx: Column, by: Column, reach: float) -> Column:
@@ -70,8 +83,8 @@ def _close(ax: Column, ay: Column, bx: Column, by: Column, reach: float) -> Colu
 def near_pairs(points: DataFrame, reach: float, places: DataFrame | None = None) -> DataFrame:
     """(left_id, right_id), left < right, of points (id, x, y) at most ``reach`` apart; ``places`` are their spots."""
     places, side = spots(points) if places is None else places, 4 * reach
-    home = places.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n").alias("an"), _cell(F.col("x"), side).alias("cx"), _cell(F.col("y"), side).alias("cy"))
-    pairs = home.join(_in_reach(places, side, reach), ["cx", "cy"]).where(
+    home = places.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n").alias("an"), _home(F.col("x"), F.col("y"), side).alias("cell"))
+    pairs = home.join(_in_reach(places, side, reach), "cell").where(
         ((F.col("ax") < F.col("x")) | ((F.col("ax") == F.col("x")) & (F.col("ay") <= F.col("y")))) & _close(F.col("ax"), F.col("ay"), F.col("x"), F.col("y"), reach)
         & ~((F.col("ax") == F.col("x")) & (F.col("ay") == F.col("y")) & (F.col("n") == 1))
     ).select("ax", "ay", F.col("x").alias("bx"), F.col("y").alias("by"))
@@ -88,9 +101,9 @@ def near_points(probes: DataFrame, points: DataFrame, reach: float, places: Data
     """(probe_id, id) of probes (probe_id, px, py) and points (id, x, y) at most ``reach`` apart; ``places`` are their spots."""
     side = 4 * reach
     asked = probes.select("probe_id", F.col("px").alias("x"), F.col("py").alias("y")).distinct()
-    round_probe = _in_reach(asked, side, reach).select("probe_id", F.col("x").alias("px"), F.col("y").alias("py"), "cx", "cy")
-    places = (spots(points) if places is None else places).select("x", "y", _cell(F.col("x"), side).alias("cx"), _cell(F.col("y"), side).alias("cy"))
-    hits = round_probe.join(places, ["cx", "cy"]).where(_close(F.col("px"), F.col("py"), F.col("x"), F.col("y"), reach)).select("probe_id", "x", "y")
+    round_probe = _in_reach(asked, side, reach).select("probe_id", F.col("x").alias("px"), F.col("y").alias("py"), "cell")
+    places = (spots(points) if places is None else places).select("x", "y", _home(F.col("x"), F.col("y"), side).alias("cell"))
+    hits = round_probe.join(places, "cell").where(_close(F.col("px"), F.col("py"), F.col("x"), F.col("y"), reach)).select("probe_id", "x", "y")
     return hits.join(points, ["x", "y"]).select("probe_id", "id").distinct()
 
 
@@ -109,7 +122,7 @@ def parse_parts(wkt: str | None) -> list[list[tuple[float, float, float, float]]
                 pts = [tuple(float(v) for v in p.split()[:2]) for p in ring.split(",")]
             except ValueError:
                 return []
-            if any(len(p) != 2 or not all(map(math.isfinite, p)) for p in pts):
+            if any(len(p) != 2 or not all(abs(v) <= FARTHEST for v in p) for p in pts):
                 return []
             if pts and pts[0] != pts[-1]:
                 pts.append(pts[0])
@@ -191,19 +204,19 @@ def cover_part(edges: list[tuple[float, float, float, float]]) -> list[tuple[int
 
 _EDGE = pa.struct([pa.field(n, pa.float64()) for n in ("ax", "ay", "bx", "by")])
 _COVER_ARROW = pa.schema(
-    [("region_id", pa.int64()), ("level", pa.int32()), ("cx", pa.int64()), ("cy", pa.int64()), ("inside", pa.bool_()), ("parity", pa.int32()), ("edges", pa.list_(_EDGE))]
+    [("region_id", pa.int64()), ("level", pa.int32()), ("cell", pa.int64()), ("inside", pa.bool_()), ("parity", pa.int32()), ("edges", pa.list_(_EDGE))]
 )
 #: Cells per Arrow batch that a task gives out.
 BATCH_CELLS = 20_000
 
 
 def _cover_batch(cells: list[tuple]) -> pa.RecordBatch:
-    """Cells (region_id, level, cx, cy, inside, parity, edges) as one Arrow batch; edges are laid out flat."""
-    columns = list(zip(*cells, strict=True)) if cells else [()] * 7
-    flat = np.array([v for edges in columns[6] for e in edges for v in e], dtype=np.float64).reshape(-1, 4)
-    offsets = np.concatenate(([0], np.cumsum([len(e) for e in columns[6]], dtype=np.int64))).astype(np.int32)
+    """Cells (region_id, level, cell, inside, parity, edges) as one Arrow batch; edges are laid out flat."""
+    columns = list(zip(*cells, strict=True)) if cells else [()] * 6
+    flat = np.array([v for edges in columns[5] for e in edges for v in e], dtype=np.float64).reshape(-1, 4)
+    offsets = np.concatenate(([0], np.cumsum([len(e) for e in columns[5]], dtype=np.int64))).astype(np.int32)
     edges = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(4)], fields=list(_EDGE)))
-    arrays = [pa.array(c, type=f.type) for c, f in zip(columns[:6], _COVER_ARROW, strict=False)]
+    arrays = [pa.array(c, type=f.type) for c, f in zip(columns[:5], _COVER_ARROW, strict=False)]
     return pa.RecordBatch.from_arrays([*arrays, edges], schema=_COVER_ARROW)
 
 
@@ -212,7 +225,7 @@ def _cover_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for rid, wkt in zip(batch.column("region_id").to_pylist(), batch.column("wkt").to_pylist(), strict=True):
             for part in parse_parts(wkt):
-                cells += [(rid, *cell) for cell in cover_part(part)]
+                cells += [(rid, lv, cell_number(lv, cx, cy), inside, parity, edges) for lv, cx, cy, inside, parity, edges in cover_part(part)]
             if len(cells) >= BATCH_CELLS:
                 yield _cover_batch(cells)
                 cells = []
@@ -245,9 +258,7 @@ def covers_expr(px: Column, py: Column, edges: Column, parity: Column) -> Column
 
 def spots_in_regions(places: DataFrame, cells: DataFrame, levels: list[int]) -> DataFrame:
     """Distinct (region_id, x, y) of places covered by the regions of a written cover table."""
-    keys = F.explode(
-        F.array(*[F.struct(F.lit(lv).alias("level"), _cell(F.col("x"), 2.0**lv).alias("cx"), _cell(F.col("y"), 2.0**lv).alias("cy")) for lv in levels])
-    )
-    keyed = places.select("x", "y", keys.alias("k")).select("x", "y", "k.level", "k.cx", "k.cy")
+    keys = F.explode(F.array(*[_home(F.col("x"), F.col("y"), 2.0**lv, lv) for lv in levels]))
+    keyed = places.select("x", "y", keys.alias("cell"))
     hit = F.col("inside") | covers_expr(F.col("x"), F.col("y"), F.col("edges"), F.col("parity"))
-    return cells.join(keyed, ["level", "cx", "cy"]).where(hit).select("region_id", "x", "y").distinct()
+    return cells.join(keyed, "cell").where(hit).select("region_id", "x", "y").distinct()

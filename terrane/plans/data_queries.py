@@ -32,7 +32,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = (
         table(spark, sf_dir, "oachargeid_point_candidate_assignments")
         .select(F.col("point_fid").alias("probe_id"), F.col("x_27700").alias("px"), F.col("y_27700").alias("py"))
-        .where("probe_id is not null and px is not null and py is not null and not isnan(px) and not isnan(py)")
+        .where("probe_id is not null and abs(px) <= 1e9 and abs(py) <= 1e9")
     )
     cells = scratch.put(spatial.cover(parcels.select("region_id", "wkt").distinct()), "cells")
     levels = sorted(r["level"] for r in cells.select("level").distinct().collect())  # at most 22 levels
