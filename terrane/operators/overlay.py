@@ -98,3 +98,19 @@ def merge_groups(polygons: DataFrame, target: DataFrame) -> DataFrame:
     """(target, geom, area, members): polygons merged into the target they are assigned to (clean_fid, target)."""
     g = polygons.join(target, "clean_fid").groupBy("target").agg(geo.st_union_all(F.collect_list("geom")).alias("geom"), F.array_sort(F.collect_list("clean_fid")).alias("members"))
     return g.select("target", "geom", geo.st_shape(F.col("geom"))["area"].alias("area"), "members")
+
+
+def half_clip(polygons: DataFrame, key: str, seed: int) -> DataFrame:
+    """Each polygon cut to one of the four halves of its box, chosen by a hash of its key (for negative examples)."""
+    side = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(4))
+    mx, my = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
+    box = geo.box_wkt(
+        F.when(side == 0, mx).otherwise(F.col("xmin")), F.when(side == 1, my).otherwise(F.col("ymin")),
+        F.when(side == 2, mx).otherwise(F.col("xmax")), F.when(side == 3, my).otherwise(F.col("ymax")),
+    )
+    return polygons.withColumn("geom", geo.st_intersection(F.col("geom"), geo.st_from_text(box)))
+
+
+def neighbour_sliver(pairs: DataFrame, reach: float) -> DataFrame:
+    """The first polygon of a pair (a_geom, b_geom) with the part of the second that lies within ``reach`` of it."""
+    return pairs.withColumn("geom", geo.st_union(F.col("a_geom"), geo.st_intersection(F.col("b_geom"), geo.st_buffer(F.col("a_geom"), reach))))

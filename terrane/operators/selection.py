@@ -76,3 +76,9 @@ def pack(rows: DataFrame, scratch: Scratch, order: list[str], rounds: int = 1000
 def match_pairs(pairs: DataFrame, scratch: Scratch, order: list[str]) -> DataFrame:
     """Greedy matching of pairs (id, a, b): both ends are used once, best pair first."""
     return pack(pairs.withColumn("resources", F.array("a", "b")), scratch, order)
+
+
+def class_sample(df: DataFrame, label: str, key: str, positives: float, negatives: float, seed: int) -> DataFrame:
+    """Each class thinned to a share of its rows by a hash of the key; the same rows on every run."""
+    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
+    return df.where(F.when(F.col(label) == 1, draw < positives).otherwise(draw < negatives))

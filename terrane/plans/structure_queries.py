@@ -249,3 +249,19 @@ def group_merge(spark, d):
     """The first and third parcel of every source, which lie two pitches apart, merged into one multipart polygon."""
     p = fx.with_geometry(fx.parcels(spark, d)).where("clean_fid % 3 <> 1")
     return overlay.merge_groups(p, p.select("clean_fid", F.col("source_fid").alias("target"))).select("target", F.round("area", 6).alias("area"), F.array_join("members", "|").alias("members"))
+
+
+@query(sql(P, body="SELECT clean_fid, area / 2 AS area FROM P"))
+def half_clips(spark, d):
+    p = overlay.half_clip(fx.with_geometry(fx.parcels(spark, d)), "clean_fid", 3)
+    return p.select("clean_fid", geo.st_shape(F.col("geom"))["area"].alias("area"))
+
+
+@query(sql(P, E, body="SELECT a, b, p.area + len*0.5 AS least FROM E JOIN P p ON p.clean_fid = a WHERE overlap = 0 AND len >= 8 AND a % 2 = 0"))
+def neighbour_slivers(spark, d):
+    """The sliver of a touching neighbour adds at least the shared border times the reach; its area is checked against that floor."""
+    p = fx.with_geometry(fx.parcels(spark, d))
+    pairs = joins.with_contact(joins.box_pairs(p, p, same=True)).where("overlap = 0 and len >= 8 and a_clean_fid % 2 = 0")
+    s = overlay.neighbour_sliver(pairs, 0.5).withColumn("area", geo.st_shape(F.col("geom"))["area"])
+    floor = F.col("a_area") + F.col("len") * 0.5
+    return s.where(F.col("area") >= floor - 1e-9).select(F.col("a_clean_fid").alias("a"), F.col("b_clean_fid").alias("b"), floor.alias("least"))

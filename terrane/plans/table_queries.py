@@ -355,3 +355,19 @@ def greedy_packing(spark, d):
 def notch_matching(spark, d):
     pairs = _short(_edges(spark, d)).select((F.col("a") * 1_000_000 + F.col("b")).alias("id"), "a", "b", (-F.col("len")).alias("minus"))
     return selection.match_pairs(pairs, Scratch(spark, "match"), ["minus"]).select((F.floor(F.col("id") / 1_000_000)).alias("a"), (F.col("id") % 1_000_000).alias("b"))
+
+
+@query("SELECT unnest(['line', 'score', 'size']) AS feature, unnest(['numeric', 'numeric', 'numeric']) AS kind UNION ALL SELECT 'mode', 'categorical'")
+def feature_whitelist(spark, d):
+    """Columns of the candidates that may be features: no ids, labels or model outputs."""
+    c = fx.candidates(spark, d).withColumnsRenamed({"anchor": "anchor_fid", "part": "part_id", "supp": "supp_id"})
+    numeric, categorical = exprs.feature_columns(c, ["label", "proba"])
+    rows = [(n, "numeric") for n in numeric] + [(n, "categorical") for n in categorical]
+    return spark.createDataFrame(rows, "feature string, kind string")
+
+
+@query(sql(C, body="SELECT label, count(*) AS n FROM C WHERE label = 1 GROUP BY 1"))
+def class_aware_sample(spark, d):
+    """All positives and no negatives, the two ends of the sampling operator that SQL can say."""
+    c = fx.candidates(spark, d).withColumn("k", F.concat_ws("-", "anchor", "line", "part", "supp"))
+    return selection.class_sample(c, "label", "k", 1.1, 0.0, 5).groupBy("label").agg(F.count("*").alias("n"))
