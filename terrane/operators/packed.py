@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrane.session import Scratch
+
 #: Rules: nothing to take; every run of digits is an id; quoted values may be text.
 NOTHING, NUMBERS, QUOTED = 0, 1, 2
 #: More distinct skeletons than this are joined by shuffle instead of broadcast (about 40 bytes each).
@@ -87,8 +89,8 @@ def split_packed(df: DataFrame, field: str, out: str = "items") -> DataFrame:
         shaped.select(F.col(f"`{key}`").alias("_s")).where(F.col("_s").isNotNull()).distinct()
         .withColumn("_r", _rule("_s")).where(F.col("_r") != NOTHING)
     )
-    few = distinct.limit(MAX_BROADCAST_SKELETONS + 1).count() <= MAX_BROADCAST_SKELETONS
-    book = distinct.select(F.col("_s").alias(key), F.col("_r").alias(rules))
+    book = Scratch(df.sparkSession, "skeletons").put(distinct.select(F.col("_s").alias(key), F.col("_r").alias(rules)), "book")
+    few = book.count() <= MAX_BROADCAST_SKELETONS
     joined = shaped.join(F.broadcast(book) if few else book, key, "left")
     return joined.withColumn(out, items_by_rule(F.col(f"`{field}`"), F.col(f"`{rules}`"))).drop(key, rules)
 
