@@ -24,6 +24,7 @@ Defined results
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -85,6 +86,7 @@ def edits_one(a: str, b: str) -> bool:
     return (a[i + 1 :] == b[i:]) if len(a) > len(b) else (a[i:] == b[i + 1 :])
 
 
+@lru_cache(maxsize=100_000)
 def _street_type(word: str) -> str | None:
     found = _TYPE.get(word)
     if found or len(word) < 5:
@@ -92,6 +94,11 @@ def _street_type(word: str) -> str | None:
     return next((name for name in STREET_TYPES if len(name) > 4 and edits_one(word, name)), None)
 
 
+@lru_cache(maxsize=100_000)
+def _prefix(word: str) -> str | None:
+    return _PREFIX.get(word) or next((p for p in PREFIXES if len(p) > 3 and edits_one(word, p)), None)
+
+
 def split_postcode(text: str) -> tuple[str, str, str]:
     """(rest, area, inward part); letters read for digits are put right."""
 
@@ -115,12 +122,9 @@ def phrase(words: list[str]) -> tuple[str, str]:
     kind = _street_type(words[-1]) if len(words) > 1 else None
     if kind:
         words = words[:-1]
-    if len(words) > 1 and words[0] in _PREFIX:
-        words = [_PREFIX[words[0]] + " ", *words[1:]]
-    elif len(words) > 1:
-        near = next((p for p in PREFIXES if len(p) > 3 and edits_one(words[0], p)), None)
-        if near:
-            words = [near + " ", *words[1:]]
+    prefix = _prefix(words[0]) if len(words) > 1 else None
+    if prefix:
+        words = [prefix + " ", *words[1:]]
     return "".join(words), kind or ""
 
 
