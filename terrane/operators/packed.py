@@ -28,8 +28,8 @@ from terrane.session import Scratch
 
 #: Rules: nothing to take; every run of digits is an id; quoted values may be text.
 NOTHING, NUMBERS, QUOTED = 0, 1, 2
-#: More distinct skeletons than this are joined by shuffle instead of broadcast (about 40 bytes each).
-MAX_BROADCAST_SKELETONS = 100_000
+#: More skeletons, or more characters in them, are joined by shuffle instead of broadcast.
+MAX_BROADCAST_SKELETONS, MAX_BROADCAST_CHARS = 100_000, 8_000_000
 #: Words that stand for "nothing".
 NOTHING_WORDS = ("nan", "none", "null", "nil", "n/a", "na", "nothing", "-", "--", "?", "unknown", "empty")
 
@@ -45,7 +45,9 @@ def skeleton(text: Column) -> Column:
     masked = F.regexp_replace(text, r"[0-9]+", "9")
     masked = F.regexp_replace(masked, "[^9\\s\\u00A0\"'|,;/&.\\[\\](){}]+", "a")
     masked = F.regexp_replace(masked, r"[\s ]+", " ")
-    return F.regexp_replace(masked, r"([\"']?9[\"']?[^9a\"']{1,4})\1+", "$1")
+    masked = F.regexp_replace(masked, r"([\"']?9[\"']?[^9a\"']{1,4})\1+", "$1")
+    # Of bare numbers with changing delimiters the last two stay, so mixed lists give few skeletons.
+    return F.regexp_replace(masked, r"9[^9a\"']{1,4}(?=9[^9a\"']{1,4}9)", "")
 
 
 def rule_of(shape: str | None) -> int:
@@ -90,7 +92,8 @@ def split_packed(df: DataFrame, field: str, out: str = "items") -> DataFrame:
         .withColumn("_r", _rule("_s")).where(F.col("_r") != NOTHING)
     )
     book = Scratch(df.sparkSession, "skeletons").put(distinct.select(F.col("_s").alias(key), F.col("_r").alias(rules)), "book")
-    few = book.count() <= MAX_BROADCAST_SKELETONS
+    size = book.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.col(f"`{key}`"))), F.lit(0)).alias("chars")).first()
+    few = size["n"] <= MAX_BROADCAST_SKELETONS and size["chars"] <= MAX_BROADCAST_CHARS
     joined = shaped.join(F.broadcast(book) if few else book, key, "left")
     return joined.withColumn(out, items_by_rule(F.col(f"`{field}`"), F.col(f"`{rules}`"))).drop(key, rules)
 
