@@ -136,6 +136,46 @@ def greedy_union(pieces: DataFrame) -> DataFrame:
     return kept.groupBy("council_fid").agg(F.array_sort(F.collect_list("v")).alias("ids"), F.max("iou").alias("iou"))
 
 
+def greedy_boxes(pieces: DataFrame) -> DataFrame:
+    """(council_fid, ids, iou): boxes are added, greatest shared area first (then the smaller box, then the smaller id),
+    each kept if the ratio of common to joint area does not fall; one that would lower it is passed over. Boxes may
+    overlap: each counts with the part that those kept before do not cover.
+
+    ``pieces`` is (council_fid, v, shared, area, council_area), the box of the piece and, with prefix c, that of the council."""
+
+    def minus(boxes: list[tuple], cut: tuple) -> list[tuple]:
+        out = []
+        for x0, y0, x1, y1 in boxes:
+            u0, v0, u1, v1 = max(x0, cut[0]), max(y0, cut[1]), min(x1, cut[2]), min(y1, cut[3])
+            if u0 >= u1 or v0 >= v1:
+                out.append((x0, y0, x1, y1))
+                continue
+            out += [b for b in ((x0, y0, u0, y1), (u1, y0, x1, y1), (u0, y0, u1, v0), (u0, v1, u1, y1)) if b[0] < b[2] and b[1] < b[3]]
+        return out
+
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["shared", "area", "v"], ascending=[False, True, True])
+        first = pdf.iloc[0]
+        council, whole = (first["cxmin"], first["cymin"], first["cxmax"], first["cymax"]), first["council_area"]
+        kept, ids, area, shared, iou = [], [], 0.0, 0.0, 0.0
+        for v, *box in pdf[["v", "xmin", "ymin", "xmax", "ymax"]].itertuples(index=False):
+            fresh = [tuple(box)]
+            for k in kept:
+                if k[0] < box[2] and box[0] < k[2] and k[1] < box[3] and box[1] < k[3]:
+                    fresh = minus(fresh, k)
+            more = sum((b[2] - b[0]) * (b[3] - b[1]) for b in fresh)
+            inside = sum(max(0.0, min(b[2], council[2]) - max(b[0], council[0])) * max(0.0, min(b[3], council[3]) - max(b[1], council[1])) for b in fresh)
+            joint = whole + area + more - shared - inside
+            trial = (shared + inside) / joint if joint > 0 else 0.0
+            if trial >= iou:
+                kept.append(tuple(box))
+                ids.append(v)
+                area, shared, iou = area + more, shared + inside, trial
+        return pd.DataFrame({"council_fid": [key[0]], "ids": [sorted(ids)], "iou": [float(iou)]})
+
+    return pieces.groupBy("council_fid").applyInPandas(grow, "council_fid long, ids array<long>, iou double")
+
+
 def best_split(members: DataFrame, edges: DataFrame, most: int = 12) -> DataFrame:
     """(component, v, part): components of 2 to ``most`` members with several seeds are cut into one part per seed.
 

@@ -105,6 +105,15 @@ def greedy_iou(spark, d):
     return g.select("council_fid", F.size("ids").cast("bigint").alias("parts"), F.round("iou", 6).alias("iou"))
 
 
+@query()
+def greedy_iou_all(spark, d):
+    """All parcels of a council area, which overlap; the pieces kept and their ratio (no oracle)."""
+    boxes = fx.parcels(spark, d).select(F.col("clean_fid").alias("v"), "xmin", "ymin", "xmax", "ymax")
+    frame = fx.councils(spark, d).select("council_fid", *[F.col(c).alias("c" + c) for c in ("xmin", "ymin", "xmax", "ymax")])
+    g = asm.greedy_boxes(_overlaps(spark, d).join(boxes, "v").join(frame, "council_fid"))
+    return g.select("council_fid", F.size("ids").cast("bigint").alias("parts"), exprs.ids_to_text(F.col("ids")).alias("ids"), F.round("iou", 6).alias("iou"))
+
+
 @query()
 def gap_assignment(spark, d):
     """Parcels of theme water act as gaps; each goes to the neighbour it shares most border with, smallest first."""

@@ -238,7 +238,10 @@ def shape_metrics(spark, d):
 @query(sql(P, E, body="SELECT a, b, round(len, 6) AS len, round(overlap, 6) AS overlap, round(overlap/(p.area+q.area-overlap), 6) AS iou FROM E JOIN P p ON p.clean_fid = a JOIN P q ON q.clean_fid = b WHERE a % 3 = 0"))
 def geometry_pair_measures(spark, d):
     p = fx.with_geometry(fx.parcels(spark, d))
-    pairs = joins.box_pairs(p.where("clean_fid % 3 = 0"), p).where("a_clean_fid < b_clean_fid")
+    return _pair_measures(joins.box_pairs(p.where("clean_fid % 3 = 0"), p).where("a_clean_fid < b_clean_fid"))
+
+
+def _pair_measures(pairs: DataFrame) -> DataFrame:
     g, h = F.col("a_geom"), F.col("b_geom")
     return pairs.select(
         F.col("a_clean_fid").alias("a"), F.col("b_clean_fid").alias("b"), F.round(geo.st_shared_length(g, h), 6).alias("len"),
@@ -246,6 +249,13 @@ def geometry_pair_measures(spark, d):
     )
 
 
+@query(sql(P, E, body="SELECT a, b, round(len, 6) AS len, round(overlap, 6) AS overlap, round(overlap/(p.area+q.area-overlap), 6) AS iou FROM E JOIN P p ON p.clean_fid = a JOIN P q ON q.clean_fid = b"))
+def geometry_pair_measures_all(spark, d):
+    """Every pair of neighbours; :func:`geometry_pair_measures` looks at a third of them."""
+    p = fx.with_geometry(fx.parcels(spark, d))
+    return _pair_measures(joins.box_pairs(p, p, same=True))
+
+
 @query(sql(P, body="SELECT clean_fid, area + 2*perimeter + 16 AS grown, round(area, 6) AS opened, round(area, 6) AS closed, CAST((xmin+xmax)/2 AS DOUBLE) AS cx FROM P"))
 def buffers_and_openings(spark, d):
     p = fx.with_geometry(fx.parcels(spark, d))

@@ -265,3 +265,27 @@ def neighbour_slivers(spark, d):
     s = overlay.neighbour_sliver(pairs, 0.5).withColumn("area", geo.st_shape(F.col("geom"))["area"])
     floor = F.col("a_area") + F.col("len") * 0.5
     return s.where(F.col("area") >= floor - 1e-9).select(F.col("a_clean_fid").alias("a"), F.col("b_clean_fid").alias("b"), floor.alias("least"))
+
+
+@query()
+def coverage_ratio_missing_all(spark, d):
+    """Every council area by the union of all parcels, which overlap (no oracle: SQL has no union of boxes)."""
+    p = fx.with_geometry(fx.parcels(spark, d))
+    r = fx.with_geometry(fx.councils(spark, d)).withColumn("area", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")))
+    return overlay.coverage_of_boxes(r, p, "council_fid").select("council_fid", F.round("covered", 6).alias("covered"), F.round("ratio", 6).alias("ratio"), F.round("missing", 6).alias("missing"))
+
+
+@query()
+def group_merge_all(spark, d):
+    """All parcels of every source merged into one polygon; they may overlap (no oracle)."""
+    p = fx.with_geometry(fx.parcels(spark, d))
+    return overlay.merge_groups(p, p.select("clean_fid", F.col("source_fid").alias("target"))).select("target", F.round("area", 6).alias("area"), F.array_join("members", "|").alias("members"))
+
+
+@query()
+def neighbour_slivers_all(spark, d):
+    """The area of every parcel with the sliver of each neighbour it has a border with, both ways (no oracle: corners are round)."""
+    p = fx.with_geometry(fx.parcels(spark, d))
+    pairs = joins.with_contact(joins.box_pairs(p, p)).where("len > 0 and a_clean_fid <> b_clean_fid")
+    s = overlay.neighbour_sliver(pairs, 0.5).withColumn("area", geo.st_shape(F.col("geom"))["area"])
+    return s.select(F.col("a_clean_fid").alias("a"), F.col("b_clean_fid").alias("b"), F.round("area", 6).alias("area"))
