@@ -131,6 +131,22 @@ def set_containment_classes(spark, d):
     return best.select("left_id", (-F.col("b.m")).alias("right_id"), joins.containment_class(F.col("b.both"), F.col("b.nl"), F.col("b.nr")).alias("cls"))
 
 
+@query(sql(C, "D AS (SELECT DISTINCT anchor, part FROM C)", "N AS (SELECT anchor, count(*) AS n FROM D GROUP BY 1)", body="""SELECT N.anchor AS left_id, r AS right_id, coalesce(cls, 'none') AS cls FROM N LEFT JOIN (
+  SELECT l, r, row_number() OVER (PARTITION BY l ORDER BY k DESC, k*1.0/(nl+nr-k) DESC, r) AS rn, CASE WHEN k = nl AND k = nr THEN 'exact' WHEN k = nl THEN 'partial' WHEN k = nr THEN 'overmerge' ELSE 'mismatch' END AS cls
+  FROM (SELECT l, r, k, a.n AS nl, b.n AS nr FROM (SELECT a.anchor AS l, b.anchor AS r, count(*) AS k FROM D a JOIN D b ON a.part = b.part WHERE a.anchor % 2 = 0 AND b.anchor % 2 = 1 GROUP BY 1, 2) JOIN N a ON a.anchor = l JOIN N b ON b.anchor = r)) ON l = N.anchor AND rn = 1
+WHERE N.anchor % 2 = 0"""))
+def set_containment_all(spark, d):
+    """Every even anchor against all odd ones, so every anchor is on a side; ``none`` where no set shares an item."""
+    c = fx.candidates(spark, d).select("anchor", "part").distinct()
+    size = c.groupBy("anchor").agg(F.count("*").alias("n"))
+    left = size.where("anchor % 2 = 0").select(F.col("anchor").alias("left_id"), F.col("n").alias("nl"))
+    both = joins.set_overlaps(c.where("anchor % 2 = 0").select(F.col("anchor").alias("left_id"), F.col("part").alias("item")), c.where("anchor % 2 = 1").select(F.col("anchor").alias("right_id"), F.col("part").alias("item")))
+    j = both.join(left, "left_id").join(size.select(F.col("anchor").alias("right_id"), F.col("n").alias("nr")), "right_id")
+    j = j.withColumn("jac", F.col("both") / (F.col("nl") + F.col("nr") - F.col("both")))
+    best = j.groupBy("left_id").agg(F.max(F.struct("both", "jac", (-F.col("right_id")).alias("m"), "nr")).alias("b"))
+    return left.join(best, "left_id", "left").select("left_id", (-F.col("b.m")).alias("right_id"), joins.containment_class(F.col("b.both"), F.col("nl"), F.col("b.nr")).alias("cls"))
+
+
 @query(sql(C, body="""SELECT anchor, string_agg(mode, ' | ' ORDER BY f, mode) AS modes FROM (SELECT anchor, mode, f, row_number() OVER (PARTITION BY anchor ORDER BY f, mode) AS rn FROM (SELECT anchor, mode, min(line) AS f FROM C GROUP BY 1, 2)) WHERE rn <= 3 GROUP BY 1"""))
 def ordered_distinct_concat(spark, d):
     return ag.ordered_distinct_text(fx.candidates(spark, d), ["anchor"], ["line"], "mode", "modes", " | ", 3)

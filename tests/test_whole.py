@@ -78,3 +78,16 @@ def test_greedy_iou_of_all_parcels(spark, parcels, councils):
         if near:
             want[n] = ("|".join(map(str, sorted(kept))), len(kept), round(iou, 6))
     assert {r["council_fid"]: (r["ids"], r["parts"], r["iou"]) for r in run(spark, "greedy_iou_all")} == want
+
+
+def test_containment_classes_of_all_anchors(spark):
+    sets = {}
+    for a, p in duckdb.sql(f"select l_orderkey, l_partkey from '{DIR}/lineitem.parquet'").fetchall():
+        sets.setdefault(a, set()).add(p)
+    odd, want = [a for a in sets if a % 2], {}
+    for a in sets:
+        if a % 2 == 0:
+            k, _, m = max((len(sets[a] & sets[b]), len(sets[a] & sets[b]) / len(sets[a] | sets[b]), -b) for b in odd)
+            whole, other = k == len(sets[a]), k == len(sets[-m])
+            want[a] = (-m, "exact" if whole and other else "partial" if whole else "overmerge" if other else "mismatch") if k else (None, "none")
+    assert {r["left_id"]: (r["right_id"], r["cls"]) for r in run(spark, "set_containment_all")} == want
