@@ -41,6 +41,15 @@ def councils(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Council parcels of 12, 22 or 32 m, so that some hold exactly one parcel and others several."""
+    s = F.col("s_suppkey")
+    x, y, side = (s * 7 % 40) * 10, (s * 3 % 50) * 10, 12 + s % 3 * 10
+    return table(spark, sf_dir, "supplier").select(
+        s.cast("bigint").alias("council_fid"), x.cast("double").alias("xmin"), y.cast("double").alias("ymin"), (x + side).cast("double").alias("xmax"), (y + side).cast("double").alias("ymax")
+    )
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate rows: one per order line."""
     return table(spark, sf_dir, "lineitem").select(
@@ -67,6 +76,9 @@ U = "U AS (SELECT c_custkey AS uprn, CAST((c_custkey*37) % 400 + 0.5 AS DOUBLE)
 B = "B AS (SELECT s_suppkey AS pid, CAST((s_suppkey % 40)*10 AS DOUBLE) AS x, CAST((s_suppkey*3) % 500 AS DOUBLE) AS y FROM supplier)"
 R = """R AS (SELECT CAST(n_nationkey AS BIGINT) AS council_fid, CAST((n_nationkey % 5)*80 AS DOUBLE) AS xmin, CAST((n_nationkey // 5)*100 AS DOUBLE) AS ymin,
   CAST((n_nationkey % 5)*80+80 AS DOUBLE) AS xmax, CAST((n_nationkey // 5)*100+100 AS DOUBLE) AS ymax FROM nation)"""
+#: Council parcels of :func:`plots`.
+L = """L AS (SELECT CAST(s_suppkey AS BIGINT) AS council_fid, CAST((s_suppkey*7 % 40)*10 AS DOUBLE) AS xmin, CAST((s_suppkey*3 % 50)*10 AS DOUBLE) AS ymin,
+  CAST((s_suppkey*7 % 40)*10 + 12 + s_suppkey % 3 * 10 AS DOUBLE) AS xmax, CAST((s_suppkey*3 % 50)*10 + 12 + s_suppkey % 3 * 10 AS DOUBLE) AS ymax FROM supplier)"""
 C = """C AS (SELECT l_orderkey AS anchor, CAST(l_linenumber AS INTEGER) AS line, l_partkey AS part, l_suppkey AS supp, l_extendedprice AS score, l_quantity AS size,
   l_discount*10 AS proba, CAST(l_returnflag = 'R' AS INTEGER) AS label, 'm' || CAST((l_partkey + l_linenumber) % 6 AS VARCHAR) AS mode FROM lineitem)"""
 #: Points per parcel, borders included.

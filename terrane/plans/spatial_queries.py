@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terrane.functions import exprs, geo
 from terrane.operators import joins
 from terrane.plans import fixtures as fx
-from terrane.plans.fixtures import B, CNT, E, P, R, U, sql
+from terrane.plans.fixtures import B, CNT, E, L, P, R, U, sql
 
 QUERIES, ORACLES = {}, {}
 
@@ -167,6 +167,19 @@ def reference_exactly_one_anchor(spark, d):
     return joins.exactly_one(pairs.select(F.col("b_council_fid").alias("council_fid"), F.col("a_clean_fid").alias("anchor")), "council_fid", "anchor")
 
 
+@query(sql(P, U, CNT, L, body="""SELECT council_fid, min(clean_fid) AS anchor FROM (SELECT l.council_fid, p.clean_fid FROM P p JOIN CNT c ON c.clean_fid = p.clean_fid JOIN L l ON p.xmin < l.xmax AND l.xmin < p.xmax AND p.ymin < l.ymax AND l.ymin < p.ymax
+  AND (least(p.xmax,l.xmax)-greatest(p.xmin,l.xmin))*(least(p.ymax,l.ymax)-greatest(p.ymin,l.ymin)) >= 90 WHERE c.n > 0) GROUP BY 1 HAVING count(*) = 1"""))
+def exactly_one_anchor_all(spark, d):
+    """Council parcels with exactly one anchor of any number of points."""
+    return joins.exactly_one(anchors_in(_counted(spark, d).where("n > 0"), fx.plots(spark, d)), "council_fid", "anchor")
+
+
+def anchors_in(held: DataFrame, councils: DataFrame) -> DataFrame:
+    """(council_fid, anchor): anchors of which at least 90 m2 lie in a council parcel."""
+    pairs = joins.box_pairs(held, councils).where(joins.overlap_x() * joins.overlap_y() >= 90)
+    return pairs.select(F.col("b_council_fid").alias("council_fid"), F.col("a_clean_fid").alias("anchor"))
+
+
 @query(sql(P, E, body="SELECT a, b, len, overlap FROM E WHERE len >= 0.5 AND overlap <= 4"))
 def shared_edge_graph(spark, d):
     return _edges(spark, d).where("len >= 0.5 and overlap <= 4").select(F.col("a_clean_fid").alias("a"), F.col("b_clean_fid").alias("b"), "len", "overlap")

@@ -91,3 +91,27 @@ def test_containment_classes_of_all_anchors(spark):
             whole, other = k == len(sets[a]), k == len(sets[-m])
             want[a] = (-m, "exact" if whole and other else "partial" if whole else "overmerge" if other else "mismatch") if k else (None, "none")
     assert {r["left_id"]: (r["right_id"], r["cls"]) for r in run(spark, "set_containment_all")} == want
+
+
+def test_exactly_one_anchor_of_any_number_of_points(spark, parcels):
+    points = [((c * 37) % 400 + 0.5, (c * 53) % 500 + 0.5) for (c,) in duckdb.sql(f"select c_custkey from '{DIR}/customer.parquet'").fetchall()]
+    held = {k: b for k, b in parcels.items() if any(b[0] <= x <= b[2] and b[1] <= y <= b[3] for x, y in points)}
+    want = {}
+    for (s,) in duckdb.sql(f"select s_suppkey from '{DIR}/supplier.parquet'").fetchall():
+        x, y, side = s * 7 % 40 * 10, s * 3 % 50 * 10, 12 + s % 3 * 10
+        inside = [k for k, b in held.items() if len(cells(b) & cells((x, y, x + side, y + side))) >= 90]
+        if len(inside) == 1:
+            want[s] = inside[0]
+    assert {r["council_fid"]: r["anchor"] for r in run(spark, "exactly_one_anchor_all")} == want
+
+
+def test_anchors_of_every_count_are_counted(spark):
+    """A council parcel with an anchor of two points and one of three has two anchors; one with an anchor of five has one."""
+    from terrane.plans import workflow
+
+    p = spark.createDataFrame([(k, x, 0.0, x + 10.0, 10.0, 100.0, 40.0) for k, x in ((1, 0.0), (2, 10.0), (3, 100.0))], "clean_fid long, xmin double, ymin double, xmax double, ymax double, area double, perimeter double")
+    u = spark.createDataFrame([(i, x, 5.0) for i, x in enumerate([5.0] * 2 + [15.0] * 3 + [105.0] * 5)], "uprn long, x double, y double")
+    c = spark.createDataFrame([(7, 0.0, 0.0, 20.0, 10.0), (8, 100.0, 0.0, 110.0, 10.0)], "council_fid long, xmin double, ymin double, xmax double, ymax double")
+    held, free = workflow.anchors(u, p)
+    got = {r["uprn"]: (r["origin"], r["parcel"]) for r in workflow._assigned(u, held, free, held, c).collect()}
+    assert got == {i: ("fallback", 1) if i < 2 else ("fallback", 2) if i < 5 else ("council", 8) for i in range(10)}
