@@ -5,6 +5,7 @@ inside one group whose size is bounded by the enumeration before it."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,31 +63,33 @@ def replacements(selected: DataFrame, proposals: DataFrame, least: float) -> Dat
     return selected.join(better, "anchor", "left").select("anchor", F.coalesce("_cid", "cid").alias("cid"), F.coalesce("_score", "score").alias("score"), F.col("_cid").isNotNull().cast("int").alias("replaced"))
 
 
-def assign_gaps(gaps: DataFrame, touching: DataFrame, scratch: Scratch, rounds: int = 50) -> DataFrame:
+def assign_gaps(gaps: DataFrame, touching: DataFrame, scratch: Scratch) -> DataFrame:
     """(gap, clean_fid, round): gaps (gap, area) go to the neighbour they share most border with, smallest first.
 
     ``touching`` is (gap, clean_fid, len) and (gap, other_gap, len) rows: a gap given away adds its border with other
-    gaps to its new owner. Each round settles every gap that is the smallest open one among the gaps it touches."""
+    gaps to its new owner. Each round settles every gap with a border to an owner that is the smallest of its kind among
+    the gaps it touches; the rounds end when no such gap is left, so only gaps that no owner can reach stay open."""
     border = scratch.put(touching.where("clean_fid is not null").select("gap", "clean_fid", "len"), "border0")
     between = scratch.put(touching.where("other_gap is not null").select("gap", "other_gap", "len"), "between")
-    open_ = scratch.put(gaps.select("gap", "area").join(border, "gap", "left_semi"), "open0")
-    out: list[DataFrame] = []
-    for r in range(1, rounds + 1):
-        if open_.isEmpty():
-            break
+    open_ = scratch.put(gaps.select("gap", "area"), "open0")
+    result = scratch.put(gaps.select("gap", F.lit(None).cast("bigint").alias("clean_fid"), F.lit(0).alias("round")).limit(0), "given0")
+    for r in itertools.count(1):
+        ready = open_.join(border, "gap", "left_semi")
+        if ready.isEmpty():
+            return result
         rank = F.struct("area", "gap")
-        near = between.join(open_.select(F.col("gap").alias("other_gap"), rank.alias("theirs")), "other_gap").groupBy("gap").agg(F.min("theirs").alias("theirs"))
-        due = open_.withColumn("mine", rank).join(near, "gap", "left").where(F.col("theirs").isNull() | (F.col("mine") < F.col("theirs"))).select("gap")
+        near = between.join(ready.select(F.col("gap").alias("other_gap"), rank.alias("theirs")), "other_gap").groupBy("gap").agg(F.min("theirs").alias("theirs"))
+        due = ready.withColumn("mine", rank).join(near, "gap", "left").where(F.col("theirs").isNull() | (F.col("mine") < F.col("theirs"))).select("gap")
         given = border.join(due, "gap").groupBy("gap", "clean_fid").agg(F.sum("len").alias("len")).groupBy("gap").agg(F.max(F.struct("len", (-F.col("clean_fid")).alias("m"))).alias("b"))
         won = scratch.put(given.select("gap", (-F.col("b.m")).alias("clean_fid"), F.lit(r).alias("round")), f"won{r}")
-        out.append(won)
-        grown = between.join(won.select(F.col("gap").alias("other_gap"), "clean_fid"), "other_gap").select("gap", "clean_fid", "len")
-        border = scratch.put(border.unionByName(grown), f"border{r}")
+        if won.isEmpty():
+            raise RuntimeError("assign_gaps: no progress")
+        result = scratch.put(result.unionByName(won), f"given{r}")
         open_ = scratch.put(open_.join(won, "gap", "left_anti"), f"open{r}")
-    result = out[0] if out else gaps.select("gap", F.lit(None).cast("bigint").alias("clean_fid"), F.lit(0).alias("round")).limit(0)
-    for part in out[1:]:
-        result = result.unionByName(part)
-    return result
+        grown = between.join(won.select(F.col("gap").alias("other_gap"), "clean_fid"), "other_gap").select("gap", "clean_fid", "len")
+        border = scratch.put(border.unionByName(grown).join(open_, "gap", "left_semi"), f"border{r}")
+        for name in (f"given{r - 1}", f"open{r - 1}", f"border{r - 1}", f"won{r}"):
+            scratch.drop(name)
 
 
 def fill_allowed(holes: DataFrame, occupied: DataFrame, points: DataFrame) -> DataFrame:

@@ -115,3 +115,34 @@ def test_anchors_of_every_count_are_counted(spark):
     held, free = workflow.anchors(u, p)
     got = {r["uprn"]: (r["origin"], r["parcel"]) for r in workflow._assigned(u, held, free, held, c).collect()}
     assert got == {i: ("fallback", 1) if i < 2 else ("fallback", 2) if i < 5 else ("council", 8) for i in range(10)}
+
+
+def _gap_rounds(areas, borders, between):
+    owners, out = {g: dict(borders.get(g, {})) for g in areas}, {}
+    for r in range(1, len(areas) + 1):
+        ready = {g for g in areas if g not in out and owners[g]}
+        due = [g for g in ready if all((areas[g], g) < (areas[o], o) for o in between.get(g, {}) if o in ready)]
+        for g in due:
+            out[g] = (max(owners[g], key=lambda p: (owners[g][p], -p)), r)
+        for g in due:
+            for o, n in between.get(g, {}).items():
+                owners[o][out[g][0]] = owners[o].get(out[g][0], 0.0) + n
+    return out
+
+
+def test_gaps_are_all_given_away(spark):
+    """A row of 60 touching gaps of rising area, and behind its end two gaps that touch only gaps; one gap no owner can reach."""
+    from terrane.operators import assembly
+    from terrane.session import Scratch
+
+    areas = {g: float(g) for g in range(1, 61)} | {70: 0.5, 71: 0.4, 90: 1.0, 91: 2.0}
+    borders = {g: {1000 + g % 3: 1.0 + g % 4} for g in range(1, 61)}
+    between = {}
+    for a, b, n in [(g, g + 1, 2.5) for g in range(1, 60)] + [(60, 70, 1.0), (70, 71, 1.0), (90, 91, 1.0)]:
+        between.setdefault(a, {})[b] = n
+        between.setdefault(b, {})[a] = n
+    rows = [(g, p, None, n) for g, o in borders.items() for p, n in o.items()] + [(g, None, o, n) for g, q in between.items() for o, n in q.items()]
+    got = assembly.assign_gaps(spark.createDataFrame(list(areas.items()), "gap long, area double"), spark.createDataFrame(rows, "gap long, clean_fid long, other_gap long, len double"), Scratch(spark, "t"))
+    want = _gap_rounds(areas, borders, between)
+    assert len(want) == 62 and max(r for _, r in want.values()) > 50
+    assert {r["gap"]: (r["clean_fid"], r["round"]) for r in got.collect()} == want
