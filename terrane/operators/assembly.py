@@ -5,6 +5,7 @@ inside one group whose size is bounded by the enumeration before it."""
 
 from __future__ import annotations
 
+import heapq
 import itertools
 from collections.abc import Iterator
 
@@ -179,13 +180,12 @@ def greedy_boxes(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("council_fid").applyInPandas(grow, "council_fid long, ids array<long>, iou double")
 
 
-def best_split(members: DataFrame, edges: DataFrame, most: int = 12) -> DataFrame:
-    """(component, v, part): components of 2 to ``most`` members with several seeds are cut into one part per seed.
+def best_split(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(component, v, part): components of any size with several seeds are cut into one part per seed.
 
     ``members`` is (component, v, seed); every other member joins the part it shares most border with, strongest border
-    first. Components beyond ``most`` keep one part. ``edges`` is (component, a, b, len)."""
-    sized = members.withColumn("_n", F.count("*").over(Window.partitionBy("component")))
-    small, large = sized.where(F.col("_n") <= most).drop("_n"), sized.where(F.col("_n") > most)
+    first (then the smaller v, then the smaller part). ``edges`` is (component, a, b, len). One component is cut in one
+    worker, with a heap, so the time grows with its edges and not with their square."""
 
     def split(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
@@ -194,25 +194,33 @@ def best_split(members: DataFrame, edges: DataFrame, most: int = 12) -> DataFram
         if len(part) < 2:
             only = min(left["v"])
             return pd.DataFrame({"component": key[0], "v": left["v"], "part": only})
+        near: dict[int, list[tuple[int, float]]] = {}
+        for a, b, n in zip(right["a"], right["b"], right["len"], strict=True):
+            near.setdefault(a, []).append((b, n))
+            near.setdefault(b, []).append((a, n))
         todo = set(left["v"]) - set(part)
-        while todo:
-            gain: dict[tuple[int, int], float] = {}
-            for a, b, n in zip(right["a"], right["b"], right["len"], strict=True):
-                for v, w in ((a, b), (b, a)):
-                    if v in todo and w in part:
-                        gain[v, part[w]] = gain.get((v, part[w]), 0.0) + n
-            if not gain:
-                for v in todo:
-                    part[v] = min(part.values())
-                break
-            v, p = max(gain, key=lambda k: (gain[k], -k[0], -k[1]))
-            part[v] = p
-            todo.discard(v)
+        gain: dict[tuple[int, int], float] = {}
+        heap: list[tuple[float, int, int]] = []
+
+        def spread(w: int) -> None:
+            for v, n in near.get(w, ()):
+                if v in todo:
+                    gain[v, part[w]] = g = gain.get((v, part[w]), 0.0) + n
+                    heapq.heappush(heap, (-g, v, part[w]))
+
+        for w in list(part):
+            spread(w)
+        while heap:
+            g, v, p = heapq.heappop(heap)
+            if v in todo and -g == gain[v, p]:
+                part[v] = p
+                todo.discard(v)
+                spread(v)
+        least = min(part.values())
+        part.update(dict.fromkeys(todo, least))
         return pd.DataFrame({"component": key[0], "v": list(part), "part": list(part.values())})
 
-    cut = small.groupBy("component").cogroup(edges.groupBy("component")).applyInPandas(split, "component long, v long, part long") 
-    whole = large.groupBy("component").agg(F.min("v").alias("part")).join(large.select("component", "v"), "component").select("component", "v", "part")
-    return cut.unionByName(whole)
+    return members.groupBy("component").cogroup(edges.groupBy("component")).applyInPandas(split, "component long, v long, part long")
 
 
 def refine(seeds: DataFrame, pool: DataFrame, score: str = "gain", steps: int = 6) -> DataFrame:

@@ -146,3 +146,38 @@ def test_gaps_are_all_given_away(spark):
     want = _gap_rounds(areas, borders, between)
     assert len(want) == 62 and max(r for _, r in want.values()) > 50
     assert {r["gap"]: (r["clean_fid"], r["round"]) for r in got.collect()} == want
+
+
+def _grown(members, edges):
+    part = {v: v for v, seed in members.items() if seed}
+    if len(part) < 2:
+        return dict.fromkeys(members, min(members))
+    while todo := set(members) - set(part):
+        gain = {}
+        for a, b, n in edges:
+            for v, w in ((a, b), (b, a)):
+                if v in todo and w in part:
+                    gain[v, part[w]] = gain.get((v, part[w]), 0.0) + n
+        if not gain:
+            return part | dict.fromkeys(todo, min(part.values()))
+        v, p = max(gain, key=lambda k: (gain[k], -k[0], -k[1]))
+        part[v] = p
+    return part
+
+
+def test_components_of_any_size_are_split(spark):
+    """Components of 8, 13 and 120 members, one of them without a second seed, against the plain greedy walk."""
+    import random
+
+    from terrane.operators import assembly
+
+    rnd, members, edges = random.Random(3), [], []
+    for c, (size, seeds) in {100: (8, 3), 200: (13, 4), 1000: (120, 17), 3000: (40, 1)}.items():
+        members += [(c, c + i, i % max(1, size // seeds) == 0 and i // max(1, size // seeds) < seeds) for i in range(size)]
+        edges += [(c, c + i, c + j, float(rnd.randrange(1, 9))) for i in range(size) for j in (i + 1, i + 2, i + 9) if j < size]
+    got = assembly.best_split(spark.createDataFrame(members, "component long, v long, seed boolean"), spark.createDataFrame(edges, "component long, a long, b long, len double"))
+    want = {}
+    for c in (100, 200, 1000, 3000):
+        want |= _grown({v: s for k, v, s in members if k == c}, [e[1:] for e in edges if e[0] == c])
+    assert len(set(want.values())) > 17
+    assert {r["v"]: r["part"] for r in got.collect()} == want
