@@ -51,14 +51,19 @@ def label_candidates(df: DataFrame, manual: str, reference: str, weak: str) -> D
 
 
 def hard_negatives(targets: DataFrame, edges: DataFrame) -> DataFrame:
-    """(target, ids, kind): each target set with one id left out, with one neighbour too many, and with one exchanged."""
+    """(target, ids, kind): each target set with one id left out, with one neighbour too many, and with one exchanged, and
+    every subset with two or more ids left out. Subsets are 2**n: a target of more than 20 ids raises."""
     whole = targets.select("target", "ids")
     omit = whole.withColumn("v", F.explode("ids")).where("size(ids) > 1").select("target", F.array_sort(F.array_remove("ids", F.col("v"))).alias("ids"), F.lit("omit").alias("kind"))
     ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     outer = whole.withColumn("a", F.explode("ids")).join(ends, "a").where(~F.array_contains("ids", F.col("b")))
     over = outer.select("target", F.array_sort(F.concat("ids", F.array("b"))).alias("ids"), F.lit("overmerge").alias("kind")).distinct()
     swap = outer.where("size(ids) > 1").select("target", F.array_sort(F.concat(F.array_remove("ids", F.col("a")), F.array("b"))).alias("ids"), F.lit("replace").alias("kind")).distinct()
-    return omit.unionByName(over).unionByName(swap)
+    bounded = whole.where("size(ids) > 2").withColumn("n", F.when(F.size("ids") <= 20, F.size("ids")).otherwise(F.raise_error(F.lit("hard_negatives: a target of more than 20 ids"))))
+    masks = bounded.withColumn("mask", F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2), F.col("n")) - 2).cast("int")))).where(F.bit_count("mask") <= F.col("n") - 2)
+    chosen = F.filter("ids", lambda x, i: F.getbit(F.col("mask"), i) == 1)
+    subset = masks.select("target", F.array_sort(chosen).alias("ids"), F.lit("subset").alias("kind"))
+    return omit.unionByName(over).unionByName(swap).unionByName(subset)
 
 
 def invariant_violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:

@@ -167,6 +167,15 @@ def hard_negatives_omit(spark, d):
     return features.hard_negatives(pairs, _short(_edges(spark, d))).where("kind = 'omit'").groupBy("kind").agg(F.count("*").alias("n"))
 
 
+@query()
+def hard_negatives_all(spark, d):
+    """Every negative of every kind, row by row; the targets are all pairs with a common border and all source groups (no oracle)."""
+    e = _short(_edges(spark, d))
+    pairs = e.select(F.concat_ws("-", "a", "b").alias("target"), F.array("a", "b").alias("ids"))
+    groups = fx.parcels(spark, d).groupBy("source_fid").agg(F.array_sort(F.collect_set("clean_fid")).alias("ids")).select(F.concat(F.lit("s"), "source_fid").alias("target"), "ids")
+    return features.hard_negatives(pairs.unionByName(groups), e).select("target", "kind", exprs.ids_to_text(F.col("ids")).alias("ids"))
+
+
 @query(sql(P, body="SELECT 'has_area' AS rule, CAST(0 AS BIGINT) AS rows UNION ALL SELECT 'narrow', sum(CAST(xmax - xmin > 11 AS BIGINT)) FROM P UNION ALL SELECT 'theme', sum(CAST(theme = 'Water' AS BIGINT)) FROM P"))
 def dataset_invariants(spark, d):
     return features.invariant_violations(fx.parcels(spark, d), {"has_area": "area > 0", "narrow": "xmax - xmin <= 11", "theme": "theme <> 'Water'"})

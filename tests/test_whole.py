@@ -181,3 +181,29 @@ def test_components_of_any_size_are_split(spark):
         want |= _grown({v: s for k, v, s in members if k == c}, [e[1:] for e in edges if e[0] == c])
     assert len(set(want.values())) > 17
     assert {r["v"]: r["part"] for r in got.collect()} == want
+
+
+def test_hard_negatives_of_every_kind(spark):
+    from itertools import combinations
+
+    from terrane.operators import features
+
+    targets = {"p": [1, 2], "q": [1, 2, 3], "r": [4, 5, 6, 7], "one": [9]}
+    edges = [(1, 2), (2, 3), (3, 4), (4, 5), (2, 8), (6, 9), (7, 1)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = set()
+    for t, ids in targets.items():
+        s = set(ids)
+        for k in range(1, len(ids)):
+            want |= {(t, "omit" if k == len(ids) - 1 else "subset", c) for c in combinations(sorted(ids), k)}
+        for a in ids:
+            for b in near.get(a, set()) - s:
+                want.add((t, "overmerge", tuple(sorted(s | {b}))))
+                if len(ids) > 1:
+                    want.add((t, "replace", tuple(sorted(s - {a} | {b}))))
+    got = features.hard_negatives(spark.createDataFrame(list(targets.items()), "target string, ids array<long>"), spark.createDataFrame(edges, "a long, b long"))
+    rows = [(r["target"], r["kind"], tuple(r["ids"])) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
