@@ -99,14 +99,43 @@ def combinations(pool: DataFrame, size: int, quota: int) -> DataFrame:
 
 def subsets(pool: DataFrame, most: int = 10) -> DataFrame:
     """(anchor, ids): every subset of a pool (anchor, v, parent) in which a vertex comes with its parent (null: none).
-    Pools are cut to the ``most`` smallest vertices, so an anchor has at most 2**most rows."""
-    w = Window.partitionBy("anchor").orderBy("v")
-    items = pool.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most).groupBy("anchor").agg(F.array_sort(F.collect_list(F.struct("v", "parent"))).alias("items"))
+    Pools of more than ``most`` vertices are not enumerated: they give the singles and a greedy path, which adds the
+    cheapest vertex (by ``cost``, where the pool has it, then the smaller v) whose parent is there, up to the whole set."""
+    sized = pool.withColumn("_n", F.count("*").over(Window.partitionBy("anchor")))
+    items = sized.where(F.col("_n") <= most).groupBy("anchor").agg(F.array_sort(F.collect_list(F.struct("v", "parent"))).alias("items"))
     masks = items.withColumn("mask", F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("items")) - 1).cast("int"))))
     chosen = F.filter("items", lambda x, i: F.getbit(F.col("mask"), i) == 1)
     ids = F.transform("chosen", lambda x: x["v"])
     ok = F.forall("chosen", lambda x: x["parent"].isNull() | F.array_contains(F.col("ids"), x["parent"]))
-    return masks.withColumn("chosen", chosen).withColumn("ids", ids).where(ok).select("anchor", "ids")
+    return masks.withColumn("chosen", chosen).withColumn("ids", ids).where(ok).select("anchor", "ids").unionByName(_greedy_paths(sized.where(F.col("_n") > most).drop("_n")))
+
+
+def _greedy_paths(pool: DataFrame) -> DataFrame:
+    """(anchor, ids): singles without parent, and the growing sets of a greedy path in which a vertex follows its parent."""
+    cost = F.col("cost").cast("double") if "cost" in pool.columns else F.lit(0.0)
+
+    def path(pdf):
+        import heapq
+
+        import pandas as pd
+
+        free, waiting = [], {}
+        for v, parent, c in zip(pdf["v"], pdf["parent"], pdf["cost"], strict=True):
+            if pd.isna(parent):
+                free.append((c, v))
+            else:
+                waiting.setdefault(int(parent), []).append((c, v))
+        out, ids = {(v,) for _, v in free}, []
+        heapq.heapify(free)
+        while free:
+            _, v = heapq.heappop(free)
+            ids.append(v)
+            out.add(tuple(sorted(ids)))
+            for item in waiting.get(v, ()):
+                heapq.heappush(free, item)
+        return pd.DataFrame({"anchor": pdf["anchor"].iloc[0], "ids": [list(i) for i in sorted(out)]})
+
+    return pool.select("anchor", "v", "parent", cost.alias("cost")).groupBy("anchor").applyInPandas(path, "anchor long, ids array<long>")
 
 
 def group_connected(groups: DataFrame, edges: DataFrame, key: list[str], ids: str) -> DataFrame:

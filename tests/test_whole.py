@@ -207,3 +207,13 @@ def test_hard_negatives_of_every_kind(spark):
     got = features.hard_negatives(spark.createDataFrame(list(targets.items()), "target string, ids array<long>"), spark.createDataFrame(edges, "a long, b long"))
     rows = [(r["target"], r["kind"], tuple(r["ids"])) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_large_pools_lose_no_vertex(spark):
+    from terrane.operators import graph
+
+    rows = [(1, v, {13: 14, 14: 12}.get(v), float(20 - v)) for v in range(10, 16)] + [(2, 7, None, 1.0)]
+    pool = spark.createDataFrame(rows, "anchor long, v long, parent long, cost double")
+    got = [(r["anchor"], tuple(r["ids"])) for r in graph.subsets(pool, 4).collect()]
+    path = [(15,), (12, 15), (12, 14, 15), (12, 13, 14, 15), (11, 12, 13, 14, 15), (10, 11, 12, 13, 14, 15)]
+    assert len(got) == len(set(got)) and set(got) == {(1, i) for i in [(10,), (11,), (12,), *path]} | {(2, (7,))}
