@@ -61,8 +61,9 @@ def p8_room(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source, score) of every document."""
-    model = moderation.fit_on(table(spark, sf_dir, "moderation_examples"))
-    return table(spark, sf_dir, "documents").select("doc_id", "source", moderation.score(F.col("text"), model).alias("score"))
+    documents = table(spark, sf_dir, "documents")
+    model = moderation.fit_on(table(spark, sf_dir, "moderation_examples"), documents.select("doc_id", "text"))
+    return documents.select("doc_id", "source", moderation.score(F.col("text"), model).alias("score"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
