@@ -1,17 +1,20 @@
 """Several values packed in one text field, one row each with its position.
 
-Method: every text gets a *delimiter skeleton* (digits and letters masked, delimiters and quotes
-kept, repeated units squeezed). The splitting rule is resolved once per distinct skeleton, the
-rules are broadcast (behind a check of their number), and the values are then cut out of the text
-by position with JVM expressions only.
+Method: every text gets a *delimiter skeleton* (runs of digits and of ordinary characters masked,
+delimiters, quotes and brackets kept, repeated units kept once). A splitting rule is resolved once per
+distinct skeleton: which delimiters split, which quotes close, whether quoted values may hold
+delimiters. The rules are broadcast (behind a check of their number and size), and the values are cut
+out of the text at the delimiters of its rule, with JVM expressions only.
 
 Defined results
 - null, empty and blank fields, ``[]`` and words such as ``nan`` or ``none`` give no rows;
 - empty places (``1||2``) do not count as positions;
-- ``1008577.0`` is the whole number ``1008577``;
-- a quoted value with anything but whole numbers in it is one item, without its quotes;
-  quotes round several whole numbers do not join them;
-- unquoted words are no ids; repeated ids count again; repeated rows count once;
+- ``1008577.0`` is the whole number ``1008577``; ``1.5``, ``12e3`` and ``2024-01-05`` are one item each;
+- a quoted value with anything but whole numbers in it is one item, without its quotes, doubled quotes
+  read as one; quotes round several whole numbers do not join them;
+- several delimiters in one text all split; a blank splits only where it stands between two numbers;
+- an apostrophe within a word is no quote; a quote that is never closed is left out;
+- unquoted values without any digit are no ids; repeated ids count again; repeated rows count once;
 - a null row id is kept as null.
 """
 
@@ -26,57 +29,90 @@ from pyspark.sql import types as T
 
 from terrane.session import Scratch
 
-#: Rules: nothing to take; every run of digits is an id; quoted values may be text.
-NOTHING, NUMBERS, QUOTED = 0, 1, 2
+#: Kinds of rule: nothing to take; cut at every mark; quoted values may hold marks.
+NOTHING, CUT, QUOTED = 0, 1, 2
 #: More skeletons, or more characters in them, are joined by shuffle instead of broadcast.
 MAX_BROADCAST_SKELETONS, MAX_BROADCAST_CHARS = 100_000, 8_000_000
-#: Words that stand for "nothing".
+#: Words that stand for "nothing" where they are quoted.
 NOTHING_WORDS = ("nan", "none", "null", "nil", "n/a", "na", "nothing", "-", "--", "?", "unknown", "empty")
 
-_NUMBER = r"([0-9]+)(?:\.0+(?![0-9]))?"
-_TOKEN = "\"[^\"]*\"|'[^']*'|" + r"[0-9]+(?:\.0+(?![0-9]))?"
-_QUOTES = "^[\"']|[\"']$"
-#: What a quoted value may hold and still be plain whole numbers.
-_PLAIN = r"^[\s |,;/&.\[\](){}0-9]*$"
+HARD, BLANKS, BRACKETS, QUOTES = "|;,/&", " \t\n\r\u00a0", "[](){}", "\"'"
+#: Stands for every mark that splits.
+_SEP = "\u0001"
+_BETWEEN = r"[^9a.\"']{1,4}"
+_RULE = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(n, T.StringType()) for n in ("marks", "seps", "token")])
 
 
 def skeleton(text: Column) -> Column:
-    """Digits become 9, other ordinary characters a; a repeated unit (value and delimiter) is kept once."""
+    """Digits become 9, other ordinary characters a; a unit of value and delimiter is kept once, where it stands last."""
     masked = F.regexp_replace(text, r"[0-9]+", "9")
     masked = F.regexp_replace(masked, "[^9\\s\\u00A0\"'|,;/&.\\[\\](){}]+", "a")
-    masked = F.regexp_replace(masked, r"[\s ]+", " ")
-    masked = F.regexp_replace(masked, r"([\"']?9[\"']?[^9a\"']{1,4})\1+", "$1")
-    # Of bare numbers with changing delimiters the last two stay, so mixed lists give few skeletons.
-    return F.regexp_replace(masked, r"9[^9a\"']{1,4}(?=9[^9a\"']{1,4}9)", "")
+    masked = F.regexp_replace(masked, r"[\s\u00A0]+", " ")
+    masked = F.regexp_replace(masked, rf"([\"']?9(?:\.9)?[\"']?{_BETWEEN})\1+(?=[\"']?[9a])", "$1")
+    bare = F.regexp_replace(masked, rf"(?s)(9(?:\.9)?{_BETWEEN})(?=[9a])(?=.*\1[9a])", "")
+    quoted = F.regexp_replace(masked, rf"(\"[^\"]*\"{_BETWEEN}|'[^']*'{_BETWEEN})\1+(?=[\"']?[9a])", "$1")
+    return F.when(masked.rlike("[\"']"), quoted).otherwise(bare)
 
 
-def rule_of(shape: str | None) -> int:
-    """The splitting rule of one skeleton."""
+def rule_of(shape: str | None) -> tuple[int, str, str, str]:
+    """(kind, marks that split, what they become, pattern of a token) of one skeleton."""
     if not shape or not re.search("[9a]", shape):
-        return NOTHING
-    for quoted in re.findall("\"([^\"]*)\"|'([^']*)'", shape):
-        if not re.match(r"^[\s|,;/&.\[\](){}9]*$", quoted[0] or quoted[1]):
-            return QUOTED
-    return NUMBERS if "9" in shape else NOTHING
-
-
-@F.pandas_udf(T.IntegerType())
-def _rule(shapes: pd.Series) -> pd.Series:
-    return shapes.map(rule_of).astype("int32")
+        return NOTHING, "", "", ""
+    edge = "[" + re.escape(HARD + BRACKETS) + r"\s]"
+    quotes, regions, outside = "", [], shape
+    for q in QUOTES:
+        region = rf"(?:(?<=^)|(?<={edge})){q}((?:[^{q}]|{q}{q})*){q}(?=$|{edge})"
+        found = re.findall(region, outside)
+        if found:
+            quotes, regions, outside = quotes + q, regions + found, re.sub(region, "9", outside)
+    plain = [r for r in regions if re.fullmatch("[9." + re.escape(HARD + BRACKETS) + r"\s]*", r)]
+    seen = outside + "".join(" ; " + r for r in plain)
+    marks = "".join(d for d in HARD if d in outside or any(d in r for r in plain))
+    blank = bool(re.search(r"9 (?=9)", seen))
+    marks += BRACKETS + (BLANKS if blank else "")
+    if len(plain) < len(regions):
+        held = re.escape(marks + quotes)
+        token = "|".join([rf"{q}(?:[^{q}]|{q}{q})*{q}" for q in quotes] + [f"[^{held}]+"])
+        return QUOTED, marks, _SEP * len(marks), token
+    if "9" not in shape:
+        return NOTHING, "", "", ""
+    marks += quotes
+    seps = _SEP * len(marks)
+    return CUT, marks + ("" if blank else BLANKS), seps + ("" if blank else " " * len(BLANKS)), ""
+
+
+@F.pandas_udf(_RULE)
+def _rule(shapes: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([rule_of(s) for s in shapes], columns=_RULE.fieldNames()).astype({"kind": "int32"})
+
+
+def _bare(item: Column) -> Column:
+    """Without blanks and stray quotes round it; a whole number as its digits."""
+    item = F.btrim(item, F.lit(QUOTES + BLANKS))
+    return F.when(item.rlike(r"^[0-9]+\.0+$"), F.substring_index(item, ".", 1)).otherwise(item)
 
 
 def items_by_rule(text: Column, rule: Column) -> Column:
     """array<string> of the bare ids of a text, in order."""
-    numbers = F.regexp_extract_all(text, F.lit(_NUMBER), F.lit(1))
 
-    def cut(token: Column) -> Column:
-        bare = F.trim(F.regexp_replace(token, _QUOTES, ""))
-        return F.when(bare.rlike(_PLAIN), F.regexp_extract_all(bare, F.lit(_NUMBER), F.lit(1))).when(
-            F.lower(bare).isin(*NOTHING_WORDS), F.array().cast("array<string>")
-        ).otherwise(F.array(bare))
+    def cut(t: Column) -> Column:
+        return F.transform(F.filter(F.split(F.call_function("translate", t, rule["marks"], rule["seps"]), _SEP), lambda x: x.rlike("[0-9]")), _bare)
+
+    def token(t: Column) -> Column:
+        q = F.substring(t, 1, 1)
+        closed = q.isin(*QUOTES) & (F.length(t) > 1) & (F.substring(t, -1, 1) == q)
+        inner = F.btrim(F.replace(F.substr(t, F.lit(2), F.length(t) - 2), F.concat(q, q), q), F.lit(BLANKS))
+        several = inner.rlike(r"^[\s\u00A0|,;/&.\[\](){}0-9]*$")
+        return F.when(~closed | several, F.when(closed, cut_all(inner)).otherwise(F.filter(F.array(_bare(t)), lambda x: x.rlike("[0-9]")))).when(
+            F.lower(inner).isin(*NOTHING_WORDS), F.array().cast("array<string>")
+        ).otherwise(F.array(inner))
+
+    def cut_all(t: Column) -> Column:
+        every = HARD + BRACKETS + BLANKS
+        return F.transform(F.filter(F.split(F.translate(t, every, _SEP * len(every)), _SEP), lambda x: x.rlike("[0-9]")), _bare)
 
-    quoted = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), cut))
-    return F.when(rule == NUMBERS, numbers).when(rule == QUOTED, quoted)
+    quoted = F.flatten(F.transform(F.regexp_extract_all(text, rule["token"], F.lit(0)), token))
+    return F.when(rule["kind"] == CUT, cut(text)).when(rule["kind"] == QUOTED, quoted)
 
 
 def split_packed(df: DataFrame, field: str, out: str = "items") -> DataFrame:
@@ -89,7 +125,7 @@ def split_packed(df: DataFrame, field: str, out: str = "items") -> DataFrame:
     shaped = df.withColumn(key, skeleton(F.col(f"`{field}`")))
     distinct = (
         shaped.select(F.col(f"`{key}`").alias("_s")).where(F.col("_s").isNotNull()).distinct()
-        .withColumn("_r", _rule("_s")).where(F.col("_r") != NOTHING)
+        .withColumn("_r", _rule("_s")).where(F.col("_r.kind") != NOTHING)
     )
     book = Scratch(df.sparkSession, "skeletons").put(distinct.select(F.col("_s").alias(key), F.col("_r").alias(rules)), "book")
     size = book.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.col(f"`{key}`"))), F.lit(0)).alias("chars")).first()
