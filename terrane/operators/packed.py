@@ -44,14 +44,17 @@ _RULE = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(n
 
 
 def skeleton(text: Column) -> Column:
-    """Digits become 9, other ordinary characters a; a unit of value and delimiter is kept once, where it stands last."""
+    """Digits become 9, other ordinary characters a. Where there are quotes, marks stay in their order and a repeated unit of
+    value and delimiter is kept once; where there are none, each delimiter is kept once, in the order of HARD, for then order
+    does not matter: ``9|9;9 9``."""
     masked = F.regexp_replace(text, r"[0-9]+", "9")
     masked = F.regexp_replace(masked, "[^9\\s\\u00A0\"'|,;/&.\\[\\](){}]+", "a")
     masked = F.regexp_replace(masked, r"[\s\u00A0]+", " ")
     masked = F.regexp_replace(masked, rf"([\"']?9(?:\.9)?[\"']?{_BETWEEN})\1+(?=[\"']?[9a])", "$1")
-    bare = F.regexp_replace(masked, rf"(?s)(9(?:\.9)?{_BETWEEN})(?=[9a])(?=.*\1[9a])", "")
     quoted = F.regexp_replace(masked, rf"(\"[^\"]*\"{_BETWEEN}|'[^']*'{_BETWEEN})\1+(?=[\"']?[9a])", "$1")
-    return F.when(masked.rlike("[\"']"), quoted).otherwise(bare)
+    marks = [F.when(F.contains(text, F.lit(d)), f"9{d}").otherwise("") for d in HARD]
+    bare = F.concat(*marks, F.when(text.rlike(r"[0-9][\s\u00A0]+[0-9]"), "9 ").otherwise(""), F.when(text.rlike("[0-9]"), "9").otherwise("a"))
+    return F.when(F.contains(text, F.lit('"')) | F.contains(text, F.lit("'")), quoted).otherwise(bare)
 
 
 def rule_of(shape: str | None) -> tuple[int, str, str, str]:
