@@ -18,6 +18,8 @@ _FUNCTIONS = {
     "terrane_one": ("One", T.BinaryType()), "terrane_two": ("Two", T.BinaryType()), "terrane_measure": ("Measure", T.DoubleType()),
     "terrane_relate": ("Relate", T.BooleanType()), "terrane_parts": ("Parts", _GEOMETRIES), "terrane_union_all": ("UnionAll", T.BinaryType()),
     "terrane_shape": ("Shape", T.ArrayType(T.DoubleType())), "terrane_from_text": ("FromText", T.BinaryType()), "terrane_to_text": ("ToText", T.StringType()),
+    "terrane_box": ("Box", T.ArrayType(T.DoubleType())), "terrane_in_cell": ("InCell", T.IntegerType()),
+    "terrane_cover": ("Cover", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("cell", T.LongType()), T.StructField("inside", T.BooleanType()), T.StructField("border", T.BinaryType())]))),
 }
 #: Order of the measures that the shape function gives.
 SHAPE_FIELDS = (
@@ -48,6 +50,11 @@ def st_to_text(g: Column) -> Column:
     return F.call_function("terrane_to_text", g)
 
 
+def st_box(g: Column) -> Column:
+    """array of xmin, ymin, xmax, ymax, area, perimeter."""
+    return F.call_function("terrane_box", g)
+
+
 def st_make_valid(g: Column) -> Column:
     return _one("valid", g)
 

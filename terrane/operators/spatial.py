@@ -13,28 +13,16 @@ Defined results
 
 from __future__ import annotations
 
-import math
-import re
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Smallest cell side is 2**MIN_LEVEL metres; a part gets about MAX_CELLS cells, more if it has a long border.
-MIN_LEVEL, MAX_LEVEL, MAX_CELLS = 3, 24, 6
+from terrane.functions import geo
 
-COVER_SCHEMA = "region_id long, level int, cell long, inside boolean, parity int, edges array<struct<ax:double,ay:double,bx:double,by:double>>"
 #: A cell is one number: level, column and row, the latter two of 29 bits from the middle on. Coordinates beyond
 #: FARTHEST metres do not fit and are no places.
 HALF, FARTHEST = 1 << 28, 1e9
 
 
-def cell_number(level: int, cx: int, cy: int) -> int:
-    return (level << 58) | ((cx + HALF) << 29) | (cy + HALF)
-
-
 def latest_location(df: DataFrame, key: str, x: str, y: str, at: str) -> DataFrame:
     """(id, x, y) of the newest row of each key; a null or all-zero place is no location.
 
@@ -110,155 +98,21 @@ def near_points(probes: DataFrame, points: DataFrame, reach: float, places: Data
 # ---------------------------------------------------------------- regions
 
 
-def parse_parts(wkt: str | None) -> list[list[tuple[float, float, float, float]]]:
-    """Edges of each polygon of a POLYGON or MULTIPOLYGON text; unreadable text has no parts."""
-    if not wkt or "POLYGON" not in wkt.upper():
-        return []
-    parts = []
-    for body in re.findall(r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)", wkt):
-        edges = []
-        for ring in re.findall(r"\(([^()]*)\)", body):
-            try:
-                pts = [tuple(float(v) for v in p.split()[:2]) for p in ring.split(",")]
-            except ValueError:
-                return []
-            if any(len(p) != 2 or not all(abs(v) <= FARTHEST for v in p) for p in pts):
-                return []
-            if pts and pts[0] != pts[-1]:
-                pts.append(pts[0])
-            edges += [(*a, *b) for a, b in zip(pts, pts[1:], strict=False) if a != b]
-        if edges:
-            parts.append(edges)
-    return parts
-
-
-def _touches(e: tuple[float, float, float, float], x0: float, y0: float, x1: float, y1: float) -> bool:
-    """Whether an edge meets a closed box."""
-    ax, ay, bx, by = e
-    if max(ax, bx) < x0 or min(ax, bx) > x1 or max(ay, by) < y0 or min(ay, by) > y1:
-        return False
-    if ax == bx or ay == by:
-        return True
-    sides = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x in (x0, x1) for y in (y0, y1)]
-    return min(sides) <= 0 <= max(sides)
-
-
-def _holds(edges: list[tuple[float, float, float, float]], px: float, py: float) -> bool:
-    odd = False
-    for ax, ay, bx, by in edges:
-        if (ay > py) != (by > py) and px > ax + (py - ay) * (bx - ax) / (by - ay):
-            odd = not odd
-    return odd
-
-
-def cover_part(edges: list[tuple[float, float, float, float]]) -> list[tuple[int, int, int, bool, int, list]]:
-    """Quadtree cover of one polygon: (level, cx, cy, inside, parity, edges).
-
-    Border cells hold the edges that a leftward ray from within the cell can cross or that lie in
-    it; an edge left of the cell that spans its whole height is counted in ``parity`` instead."""
-    xs = [v for e in edges for v in (e[0], e[2])]
-    ys = [v for e in edges for v in (e[1], e[3])]
-    x0, x1, y0, y1 = min(xs), max(xs), min(ys), max(ys)
-    extent = max(x1 - x0, y1 - y0, 1.0)
-    level = min(max(MIN_LEVEL, math.ceil(math.log2(extent))), MAX_LEVEL)
-    side = 2.0**level
-    todo = [
-        (level, cx, cy, edges)
-        for cx in range(math.floor(x0 / side), math.floor(x1 / side) + 1)
-        for cy in range(math.floor(y0 / side), math.floor(y1 / side) + 1)
-    ]
-    budget = MAX_CELLS + int(extent / 16)
-    out, border = [], []
-    while todo:
-        nxt = []
-        for lv, cx, cy, cand in todo:
-            s = 2.0**lv
-            bx0, by0 = cx * s, cy * s
-            mine = [e for e in cand if _touches(e, bx0, by0, bx0 + s, by0 + s)]
-            if mine:
-                border.append((lv, cx, cy, mine))
-            elif _holds(edges, bx0 + s / 2, by0 + s / 2):
-                out.append((lv, cx, cy, True, 0, []))
-        if border and border[0][0] > MIN_LEVEL and len(border) * 2 + len(out) <= budget:
-            for lv, cx, cy, mine in border:
-                nxt += [(lv - 1, 2 * cx + i, 2 * cy + j, mine) for i in (0, 1) for j in (0, 1)]
-            border = []
-        todo = nxt
-    for lv, cx, cy, _ in border:
-        s = 2.0**lv
-        bx0, by0, bx1, by1 = cx * s, cy * s, cx * s + s, cy * s + s
-        parity, keep = 0, []
-        for e in edges:
-            lo, hi = min(e[1], e[3]), max(e[1], e[3])
-            if hi < by0 or lo > by1 or min(e[0], e[2]) > bx1:
-                continue
-            if max(e[0], e[2]) < bx0 and lo <= by0 and hi > by1:
-                parity ^= 1
-            elif max(e[0], e[2]) < bx0 and lo == hi:
-                continue
-            else:
-                keep.append(e)
-        out.append((lv, cx, cy, False, parity, keep))
-    return out
-
-
-_EDGE = pa.struct([pa.field(n, pa.float64()) for n in ("ax", "ay", "bx", "by")])
-_COVER_ARROW = pa.schema(
-    [("region_id", pa.int64()), ("level", pa.int32()), ("cell", pa.int64()), ("inside", pa.bool_()), ("parity", pa.int32()), ("edges", pa.list_(_EDGE))]
-)
-#: Cells per Arrow batch that a task gives out.
-BATCH_CELLS = 20_000
-
-
-def _cover_batch(cells: list[tuple]) -> pa.RecordBatch:
-    """Cells (region_id, level, cell, inside, parity, edges) as one Arrow batch; edges are laid out flat."""
-    columns = list(zip(*cells, strict=True)) if cells else [()] * 6
-    flat = np.array([v for edges in columns[5] for e in edges for v in e], dtype=np.float64).reshape(-1, 4)
-    offsets = np.concatenate(([0], np.cumsum([len(e) for e in columns[5]], dtype=np.int64))).astype(np.int32)
-    edges = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(4)], fields=list(_EDGE)))
-    arrays = [pa.array(c, type=f.type) for c, f in zip(columns[:5], _COVER_ARROW, strict=False)]
-    return pa.RecordBatch.from_arrays([*arrays, edges], schema=_COVER_ARROW)
-
-
-def _cover_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells: list[tuple] = []
-    for batch in batches:
-        for rid, wkt in zip(batch.column("region_id").to_pylist(), batch.column("wkt").to_pylist(), strict=True):
-            for part in parse_parts(wkt):
-                cells += [(rid, lv, cell_number(lv, cx, cy), inside, parity, edges) for lv, cx, cy, inside, parity, edges in cover_part(part)]
-            if len(cells) >= BATCH_CELLS:
-                yield _cover_batch(cells)
-                cells = []
-    yield _cover_batch(cells)
-
-
 def cover(regions: DataFrame) -> DataFrame:
-    """Quadtree cells of distinct regions (region_id, wkt)."""
-    return regions.where(F.col("wkt").isNotNull()).select("region_id", "wkt").mapInArrow(_cover_batches, COVER_SCHEMA)
-
-
-def covers_expr(px: Column, py: Column, edges: Column, parity: Column) -> Column:
-    """Exact test of a point in a border cell: on an edge, or an odd number of crossings."""
-
-    def on(e: Column) -> Column:
-        cross = (e["bx"] - e["ax"]) * (py - e["ay"]) - (e["by"] - e["ay"]) * (px - e["ax"])
-        return (
-            (cross == 0)
-            & (px >= F.least(e["ax"], e["bx"])) & (px <= F.greatest(e["ax"], e["bx"]))
-            & (py >= F.least(e["ay"], e["by"])) & (py <= F.greatest(e["ay"], e["by"]))
-        )
+    """(region_id, level, cell, inside, border): quadtree cells of distinct regions (region_id, wkt), made in the JVM."""
+    geo.register(regions.sparkSession)
+    return regions.where(F.col("wkt").isNotNull()).select("region_id", F.explode(F.call_function("terrane_cover", F.col("wkt"))).alias("c")).select("region_id", "c.*")
 
-    def crosses(e: Column) -> Column:
-        at = e["ax"] + (py - e["ay"]) * (e["bx"] - e["ax"]) / (e["by"] - e["ay"])
-        return ((e["ay"] > py) != (e["by"] > py)) & F.coalesce(px > at, F.lit(False))
 
-    crossings = F.aggregate(edges, parity, lambda n, e: n + F.when(crosses(e), 1).otherwise(0))
-    return F.exists(edges, on) | (F.pmod(crossings, F.lit(2)) == 1)
+def place_in(x: Column, y: Column, inside: Column, border: Column) -> Column:
+    """1 for a point inside, 2 for one on the border, 0 outside; border cells are tested exactly."""
+    return F.when(inside, F.lit(1)).otherwise(F.call_function("terrane_in_cell", x, y, border))
 
 
-def spots_in_regions(places: DataFrame, cells: DataFrame, levels: list[int]) -> DataFrame:
-    """Distinct (region_id, x, y) of places covered by the regions of a written cover table."""
+def spots_in_regions(places: DataFrame, cells: DataFrame, levels: list[int], strict: bool = False) -> DataFrame:
+    """Distinct (region_id, x, y) of places covered by the regions of a written cover table; ``strict`` leaves out borders."""
     keys = F.explode(F.array(*[_home(F.col("x"), F.col("y"), 2.0**lv, lv) for lv in levels]))
     keyed = places.select("x", "y", keys.alias("cell"))
-    hit = F.col("inside") | covers_expr(F.col("x"), F.col("y"), F.col("edges"), F.col("parity"))
+    place = place_in(F.col("x"), F.col("y"), F.col("inside"), F.col("border"))
+    hit = place == 1 if strict else place > 0
     return cells.join(keyed, "cell").where(hit).select("region_id", "x", "y").distinct()

@@ -1,20 +1,53 @@
+import math
 import random
+import re
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 
 from terrane.operators import joins, spatial
 
 RND = random.Random(3)
 
 
+FARTHEST = spatial.FARTHEST
+
+
+def parse_parts(wkt: str | None) -> list[list[tuple[float, float, float, float]]]:
+    """Edges of each polygon of a POLYGON or MULTIPOLYGON text; unreadable text has no parts."""
+    if not wkt or "POLYGON" not in wkt.upper():
+        return []
+    parts = []
+    for body in re.findall(r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)", wkt):
+        edges = []
+        for ring in re.findall(r"\(([^()]*)\)", body):
+            try:
+                pts = [tuple(float(v) for v in p.split()[:2]) for p in ring.split(",")]
+            except ValueError:
+                return []
+            if any(len(p) != 2 or not all(abs(v) <= FARTHEST for v in p) for p in pts):
+                return []
+            if pts and pts[0] != pts[-1]:
+                pts.append(pts[0])
+            edges += [(*a, *b) for a, b in zip(pts, pts[1:], strict=False) if a != b]
+        if edges:
+            parts.append(edges)
+    return parts
+
+
+def _odd(edges: list[tuple[float, float, float, float]], px: float, py: float) -> bool:
+    odd = False
+    for ax, ay, bx, by in edges:
+        if (ay > py) != (by > py) and px > ax + (py - ay) * (bx - ax) / (by - ay):
+            odd = not odd
+    return odd
+
+
 def _holds(wkt, x, y):
-    for edges in spatial.parse_parts(wkt):
+    for edges in parse_parts(wkt):
         for ax, ay, bx, by in edges:
             if (bx - ax) * (y - ay) == (by - ay) * (x - ax) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
                 return True
-        if spatial._holds(edges, x, y):
+        if _odd(edges, x, y):
             return True
     return False
 
@@ -61,14 +94,28 @@ def test_empty(spark):
     assert spatial.cover(spark.createDataFrame([], "region_id long, wkt string")).count() == 0
 
 
-@settings(max_examples=25, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60), st.integers(1, 30), st.integers(1, 30)), min_size=1, max_size=6))
-def test_cover_cells_of_boxes(boxes):
-    for x, y, w, h in boxes:
-        edges = spatial.parse_parts(f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y}))")[0]
-        cells = spatial.cover_part(edges)
-        for px, py in [(x, y), (x + w, y + h), (x + w / 2, y + h / 2)]:
-            assert any(px // 2**lv == cx and py // 2**lv == cy for lv, cx, cy, *_ in cells)
+def test_cover_of_random_polygons(spark):
+    """Star-shaped polygons with many corners, some with a hole, against ray casting; inside cells and strict hits too."""
+    rows, pts = [], [(RND.uniform(-400, 400), RND.uniform(-400, 400)) for _ in range(1500)]
+    for i in range(30):
+        n, cx, cy, size = RND.randrange(3, 60), RND.uniform(-200, 200), RND.uniform(-200, 200), 10 ** RND.uniform(0.3, 2.5)
+        ring = [(cx + size * r * math.cos(2 * math.pi * k / n), cy + size * r * math.sin(2 * math.pi * k / n)) for k in range(n) for r in [RND.uniform(0.4, 1.0)]]
+        hole = [(cx + size * 0.2 * math.cos(a), cy + size * 0.2 * math.sin(a)) for a in (0, 1.5, 3, 4.5)]
+        text = lambda r: "(" + ", ".join(f"{x!r} {y!r}" for x, y in [*r, r[0]]) + ")"
+        rows.append((i, f"POLYGON ({text(ring)}{', ' + text(hole) if i % 2 else ''})"))
+    cells = spatial.cover(spark.createDataFrame(rows, "region_id long, wkt string")).persist()
+    levels = [r["level"] for r in cells.select("level").distinct().collect()]
+    places = spark.createDataFrame(pts, "x double, y double")
+    for strict in (False, True):
+        got = {(r["region_id"], r["x"], r["y"]) for r in spatial.spots_in_regions(places, cells, levels, strict).collect()}
+        assert got == {(i, x, y) for i, w in rows for x, y in pts if _holds(w, x, y)}
+
+
+def test_strict_leaves_out_the_border(spark):
+    cells = spatial.cover(spark.createDataFrame([(1, WKT[0])], "region_id long, wkt string")).persist()
+    levels = [r["level"] for r in cells.select("level").distinct().collect()]
+    places = spark.createDataFrame([(0.0, 0.0), (5.0, 5.0), (10.0, 15.0), (15.0, 15.0), (40.0, 3.0)], "x double, y double")
+    assert {(r["x"], r["y"]) for r in spatial.spots_in_regions(places, cells, levels, strict=True).collect()} == {(5.0, 5.0)}
 
 
 @pytest.mark.parametrize("reach", [0.0, 3.0])
