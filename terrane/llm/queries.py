@@ -59,6 +59,22 @@ def p8_room(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p8_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row that must hold of any packing: documents, documents not placed or not whole, containers over the capacity,
+    documents cut though they fit into one container."""
+    documents = table(spark, sf_dir, "documents")
+    placed = Scratch(spark, "p8_audit").put(packing.fill_containers(documents, "doc_id", "text", CAPACITY), "placed")
+    sizes = documents.select("doc_id", packing.size_and_key(F.col("text"))["tokens"].alias("size"))
+    per_doc = placed.groupBy("doc_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"))
+    whole = (F.col("tokens") == F.col("size")) & (F.col("pieces") == F.greatest(F.lit(1), F.ceil(F.col("size") / CAPACITY)))
+    by_doc = sizes.join(per_doc, "doc_id", "left").agg(
+        F.count("*").alias("documents"), F.sum(F.when(F.coalesce(whole, F.lit(False)), 0).otherwise(1)).cast("long").alias("not_whole"),
+        F.sum(F.when((F.col("size") <= CAPACITY) & (F.col("pieces") > 1), 1).otherwise(0)).cast("long").alias("cut_though_fitting"),
+    )
+    over = placed.groupBy("container_id").agg(F.sum("tokens").alias("used")).agg(F.sum(F.when(F.col("used") > CAPACITY, 1).otherwise(0)).cast("long").alias("over_full"))
+    return by_doc.crossJoin(over)  # one row each
+
+
 def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source, score) of every document."""
     documents = table(spark, sf_dir, "documents")
@@ -79,11 +95,12 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_room": p8_room,
+    "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_room": p8_room, "p8_audit": p8_audit,
     "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,
 }
 
 ORACLES = {
+    "p8_audit": "SELECT count(*) AS documents, CAST(0 AS BIGINT) AS not_whole, CAST(0 AS BIGINT) AS cut_though_fitting, CAST(0 AS BIGINT) AS over_full FROM documents",
     "p4_found": """
 WITH raw AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY exported_at DESC NULLS LAST) AS rn

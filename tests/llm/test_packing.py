@@ -21,11 +21,34 @@ def test_packer_is_exact():
     packer, rows = packing.Packer(2048, 0), []
     for lo in range(0, len(sizes), 512):
         rows += packer.pack(np.arange(lo, min(lo + 512, len(sizes))), sizes[lo : lo + 512])
+    rows += packer.finish()
     check(rows, dict(enumerate(sizes.tolist())), 2048)
     used = sum(sizes) / (2048 * len({r[3] for r in rows}))
     assert used > 0.98
 
 
+def test_batches_do_not_matter():
+    sizes = np.random.default_rng(4).integers(0, 900, 700)
+    def run(step):
+        packer, rows = packing.Packer(1000, 0), []
+        for lo in range(0, len(sizes), step):
+            rows += packer.pack(np.arange(lo, min(lo + step, len(sizes))), sizes[lo : lo + step])
+        return rows + packer.finish()
+    assert run(1) == run(37) == run(700)
+
+
+def test_containers_hold_neighbours():
+    """Items of a container lie within a short stretch of the curve: nothing waits long behind the head of the window."""
+    sizes = np.random.default_rng(5).integers(1, 700, 5000)
+    packer = packing.Packer(2048, 0)
+    rows = packer.pack(np.arange(5000), sizes) + packer.finish()
+    boxes = {}
+    for doc, _, _, box, _ in rows:
+        boxes.setdefault(box, []).append(doc)
+    spread = np.array([max(b) - min(b) for b in boxes.values()])
+    assert np.median(spread) <= 2 * packing.WINDOW and 1 - sizes.sum() / (2048 * len(boxes)) < 0.005
+
+
 def check(rows, sizes, capacity):
     by_doc, by_box = {}, {}
     for doc, piece, tokens, box, start in rows:
