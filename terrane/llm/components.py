@@ -34,6 +34,8 @@ from terrane.session import Scratch
 HOT_SHARE = 512
 #: Rate of the exponential shifts: a mean of 1/BETA hops.
 BETA = 0.4
+#: Rows (24 bytes each, under 60 MB as a broadcast) up to which changed vertices and their offers are broadcast.
+BROADCAST_ROWS = 500_000
 SMALL_EDGES = 200_000
 MAX_LEVELS, MAX_ROUNDS = 200, 10_000
 
@@ -64,32 +66,64 @@ def lookup(big: DataFrame, small: DataFrame, key: str, hot: list[int], how: str
     return cold.unionByName(warm)
 
 
-def _grow(edges: DataFrame, level: int, scratch: Scratch) -> DataFrame:
-    """(v, center, degree) of every vertex on an edge, each in the cluster that reaches it first; a written table."""
-    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("w").alias("o")), F.struct(F.col("w").alias("v"), F.col("u").alias("o")))).alias("e")).select("e.v", "e.o")
+def _grow(edges: DataFrame, level: int, scratch: Scratch) -> tuple[DataFrame, list[int]]:
+    """((v, center) of every vertex on an edge, each in the cluster that reaches it first, as a written table; hot vertices).
+
+    While many vertices change, a round rewrites all labels; once few do, it only writes the changed ones and meets edges
+    and labels by broadcast, so the long tail of rounds shuffles next to nothing."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("w").alias("to")), F.struct(F.col("w").alias("v"), F.col("u").alias("to")))).alias("e")).select("e.v", "e.to")
     # The first round: every vertex offers its own cluster to its neighbours.
-    first = ends.groupBy("v").agg(F.min_by("o", _start(F.col("o"), level)).alias("o"), F.count("*").alias("degree"))
+    first = ends.groupBy("v").agg(F.min_by("to", _start(F.col("to"), level)).alias("o"), F.count("*").alias("degree"))
     theirs, own = _start(F.col("o"), level) + 1, _start(F.col("v"), level)
-    labels = first.select(
-        "v", F.when(theirs < own, F.col("o")).otherwise(F.col("v")).alias("center"), F.least(theirs, own).alias("at"), "degree", (theirs < own).alias("changed")
-    )
-    labels, hot = scratch.put(labels, f"grow{level}_0"), None
+    begun = scratch.put(first.select("v", F.when(theirs < own, F.col("o")).otherwise(F.col("v")).alias("center"), F.least(theirs, own).alias("at"), "degree"), f"grow{level}_0")
+    hot, labels, deltas = _hot(begun, "v", "degree"), begun.select("v", "center", "at"), []
+    frontier, kept = labels.where("center <> v"), [f"grow{level}_0"]
     for r in range(1, MAX_ROUNDS):
-        frontier = labels.where("changed").select("v", "center", "at")
-        if frontier.isEmpty():
-            return scratch.put(labels.select("v", "center", "degree"), f"assign{level}")
-        hot = _hot(labels, "v", "degree") if hot is None else hot
-        offers = lookup(ends.withColumnRenamed("v", "to").withColumnRenamed("o", "v"), frontier, "v", hot)
-        best = offers.groupBy("to").agg(F.min_by("center", F.struct("at", "center")).alias("c"), (F.min("at") + 1).alias("t")).withColumnRenamed("to", "v")
-        earlier = F.coalesce(F.col("t") < F.col("at"), F.lit(False))
-        labels = scratch.put(
-            labels.join(best, "v", "left").select(
-                "v", F.when(earlier, F.col("c")).otherwise(F.col("center")).alias("center"), F.when(earlier, F.col("t")).otherwise(F.col("at")).alias("at"), "degree", earlier.alias("changed")
-            ),
-            f"grow{level}_{r}",
-        )
-        scratch.drop(f"grow{level}_{r - 1}")
-    raise RuntimeError("components: no end of growth")
+        size = frontier.count()
+        if not size:
+            break
+        offers = ends.join(F.broadcast(frontier), "v") if size <= BROADCAST_ROWS else lookup(ends, frontier, "v", hot)
+        best = offers.groupBy(F.col("to").alias("v")).agg(F.min(F.struct("at", "center")).alias("m")).select("v", F.col("m.center").alias("c"), (F.col("m.at") + 1).alias("t"))
+        if size <= BROADCAST_ROWS:
+            best = scratch.put(best, f"best{level}_{r}")
+            kept.append(f"best{level}_{r}")
+        if size <= BROADCAST_ROWS and best.count() <= BROADCAST_ROWS:
+            met = labels.join(F.broadcast(best), "v").where("t < at").select("v", "c", "t")
+            for past in deltas:
+                met = met.join(past.select("v", F.col("at").alias("then")), "v", "left").where("then is null or t < then").drop("then")
+            frontier = scratch.put(met.select("v", F.col("c").alias("center"), F.col("t").alias("at")), f"delta{level}_{r}")
+            kept.append(f"delta{level}_{r}")
+            deltas.append(frontier)
+            if len(deltas) >= 4:
+                deltas = [scratch.put(_latest(deltas), f"deltas{level}_{r}")]
+                kept.append(f"deltas{level}_{r}")
+        else:
+            earlier = F.coalesce(F.col("t") < F.col("at"), F.lit(False))
+            labels = scratch.put(
+                _latest([labels, *deltas]).join(best, "v", "left").select(
+                    "v", F.when(earlier, F.col("c")).otherwise(F.col("center")).alias("center"), F.when(earlier, F.col("t")).otherwise(F.col("at")).alias("at"), earlier.alias("changed")
+                ),
+                f"grow{level}_{r}",
+            )
+            for name in kept:
+                scratch.drop(name)
+            frontier, labels, deltas, kept = labels.where("changed").select("v", "center", "at"), labels.select("v", "center", "at"), [], [f"grow{level}_{r}"]
+    else:
+        raise RuntimeError("components: no end of growth")
+    assign = scratch.put(_latest([labels, *deltas]).select("v", "center"), f"assign{level}")
+    for name in kept:
+        scratch.drop(name)
+    return assign, hot
+
+
+def _latest(tables: list[DataFrame]) -> DataFrame:
+    """(v, center, at) with the earliest offer of each vertex."""
+    if len(tables) == 1:
+        return tables[0]
+    union = tables[0]
+    for t in tables[1:]:
+        union = union.unionByName(t)
+    return union.groupBy("v").agg(F.min(F.struct("at", "center")).alias("m")).select("v", "m.center", "m.at")
 
 
 def shifts(n: int, rng: np.random.Generator, beta: float) -> np.ndarray:
@@ -135,17 +169,16 @@ def decompose(u: np.ndarray, w: np.ndarray, beta: float = BETA) -> tuple[np.ndar
 
 
 def _in_one_task(edges: DataFrame) -> DataFrame:
-    """(v, center, degree) of a small level, decomposed to the end."""
+    """(v, center) of a small level, decomposed to the end."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frames = [f for f in batches if len(f)]
         if frames:
             u, w = (np.concatenate([f[c].to_numpy() for f in frames]) for c in ("u", "w"))
             names, roots, _ = decompose(u, w)
-            degree = np.bincount(np.searchsorted(names, np.concatenate([u, w])), minlength=len(names))
-            yield pd.DataFrame({"v": names, "center": roots, "degree": degree})
+            yield pd.DataFrame({"v": names, "center": roots})
 
-    return edges.select("u", "w").coalesce(1).mapInPandas(run, "v long, center long, degree long")
+    return edges.select("u", "w").coalesce(1).mapInPandas(run, "v long, center long")
 
 
 def components(spark: SparkSession, pairs: DataFrame, small: int = SMALL_EDGES) -> DataFrame:
@@ -164,9 +197,8 @@ def components(spark: SparkSession, pairs: DataFrame, small: int = SMALL_EDGES)
         if size <= small:
             levels.append(scratch.put(_in_one_task(edges), f"assign{level}"))
             break
-        assign = _grow(edges, level, scratch)
+        assign, hot = _grow(edges, level, scratch)
         levels.append(assign)
-        hot = _hot(assign, "v", "degree")
         to = assign.select("v", "center")
         half = lookup(edges.withColumnRenamed("u", "v"), to, "v", hot).select(F.col("center").alias("cu"), F.col("w").alias("v"))
         both = lookup(half, to, "v", hot).where("cu <> center")
