@@ -66,6 +66,62 @@ def with_geometry(df: DataFrame) -> DataFrame:
     return df.withColumn("geom", st_from_text(box_wkt(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))))
 
 
+def _point(x: str, y: str) -> str:
+    return f"CAST(CAST({x} AS BIGINT) AS VARCHAR) || ' ' || CAST(CAST({y} AS BIGINT) AS VARCHAR)"
+
+
+def _ring(*corners: tuple[str, str]) -> str:
+    return "'(' || " + " || ', ' || ".join(_point(x, y) for x, y in (*corners, corners[0])) + " || ')'"
+
+
+#: Polygon text of a parcel: an L without its upper right corner, a box with a hole, a box, an L without its lower left corner.
+_BOX_RING = _ring(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"))
+SHAPE_SQL = f"""CASE clean_fid % 4
+  WHEN 0 THEN 'POLYGON (' || {_ring(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax - 4"), ("xmax - 3", "ymax - 4"), ("xmax - 3", "ymax"), ("xmin", "ymax"))} || ')'
+  WHEN 1 THEN 'POLYGON (' || {_BOX_RING} || ', ' || {_ring(("xmin + 2", "ymin + 2"), ("xmin + 2", "ymin + 5"), ("xmin + 4", "ymin + 5"), ("xmin + 4", "ymin + 2"))} || ')'
+  WHEN 2 THEN 'POLYGON (' || {_BOX_RING} || ')'
+  ELSE 'MULTIPOLYGON ((' || {_ring(("xmin + 2", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin + 3"), ("xmin + 2", "ymin + 3"))} || '))' END"""
+
+
+def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parcels as L-shapes, boxes with a hole and boxes, with their geometry."""
+    from terrane.operators.polygons import with_shape
+
+    return with_shape(parcels(spark, sf_dir).withColumn("wkt", F.expr(SHAPE_SQL.replace("VARCHAR", "STRING"))))
+
+
+def council_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrane.operators.polygons import with_shape
+
+    return with_shape(councils(spark, sf_dir).withColumn("wkt", F.expr(COUNCIL_SQL.replace("VARCHAR", "STRING"))))
+
+
+COUNCIL_SQL = f"""'POLYGON (' || {_ring(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax - 30"), ("xmin + 30", "ymax - 30"), ("xmin + 30", "ymax"), ("xmin", "ymax"))} || ')'"""
+
+
+def edge_tables(source: str, p: str = "") -> tuple[str, ...]:
+    """SQL tables of polygon texts (id, wkt) of any axis-parallel form: edges {p}S, signed corners {p}K and measures {p}M.
+
+    A form is the sum of its corners, each a quarter plane with a sign, so common areas are sums over pairs of corners."""
+    return (
+        f"{p}RG AS (SELECT id, pi, unnest(rings) AS ring, generate_subscripts(rings, 1) AS ri FROM (SELECT id, pi, regexp_extract_all(part, '\\(([^()]*)\\)', 1) AS rings FROM (SELECT id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pi FROM (SELECT id, regexp_extract_all(wkt, '\\([ ]*\\([^()]*\\)(?:[ ]*,[ ]*\\([^()]*\\))*[ ]*\\)') AS parts FROM {source}))))",
+        f"{p}V AS (SELECT id, pi, ri, k, CAST(string_split(trim(pt), ' ')[1] AS DOUBLE) AS x, CAST(string_split(trim(pt), ' ')[2] AS DOUBLE) AS y FROM (SELECT id, pi, ri, unnest(pts) AS pt, generate_subscripts(pts, 1) AS k FROM (SELECT id, pi, ri, string_split(ring, ',') AS pts FROM {p}RG)))",
+        f"{p}S AS (SELECT * FROM (SELECT id, pi, ri, k, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM {p}V WINDOW w AS (PARTITION BY id, pi, ri ORDER BY k)) WHERE bx IS NOT NULL)",
+        f"{p}TURN AS (SELECT id, pi, ri, sign(sum(ax*by_ - bx*ay)) * CASE WHEN ri = 1 THEN 1 ELSE -1 END AS s FROM {p}S GROUP BY 1, 2, 3)",
+        f"{p}K AS (SELECT id, x, y, s * CASE WHEN upright = was_upright THEN 0 WHEN was_upright THEN 1 ELSE -1 END AS s FROM (SELECT id, pi, ri, ax AS x, ay AS y, ax = bx AS upright, coalesce(lag(ax = bx) OVER w, last_value(ax = bx) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS was_upright FROM {p}S WINDOW w AS (PARTITION BY id, pi, ri ORDER BY k)) JOIN {p}TURN USING (id, pi, ri))",
+        f"{p}M AS (SELECT id, min(least(ax, bx)) AS xmin, min(least(ay, by_)) AS ymin, max(greatest(ax, bx)) AS xmax, max(greatest(ay, by_)) AS ymax, sum(abs(ax-bx) + abs(ay-by_)) AS perimeter, abs(sum(CASE WHEN ri = 1 THEN 1 ELSE -1 END * abs_part)) AS area FROM {p}S JOIN (SELECT id, pi, ri, abs(sum(ax*by_ - bx*ay))/2/count(*) AS abs_part FROM {p}S GROUP BY 1, 2, 3) USING (id, pi, ri) GROUP BY 1)",
+    )
+
+
+def pair_table(name: str, a: str, b: str, pairs: str) -> tuple[str, ...]:
+    """SQL table {name} (a, b, len, overlap) of pairs of ids (a, b) of two sets of edge tables."""
+    return (
+        f"{name}_AREA AS (SELECT a, b, sum(k.s * q.s * (m - greatest(k.x, q.x)) * (n - greatest(k.y, q.y))) AS overlap FROM (SELECT p.a, p.b, greatest(u.xmax, v.xmax) AS m, greatest(u.ymax, v.ymax) AS n FROM {pairs} p JOIN {a}M u ON u.id = p.a JOIN {b}M v ON v.id = p.b) JOIN {a}K k ON k.id = a JOIN {b}K q ON q.id = b GROUP BY 1, 2)",
+        f"{name}_LEN AS (SELECT a, b, sum(CASE WHEN e.ay = e.by_ AND f.ay = f.by_ AND e.ay = f.ay THEN greatest(0, least(greatest(e.ax,e.bx), greatest(f.ax,f.bx)) - greatest(least(e.ax,e.bx), least(f.ax,f.bx))) WHEN e.ax = e.bx AND f.ax = f.bx AND e.ax = f.ax THEN greatest(0, least(greatest(e.ay,e.by_), greatest(f.ay,f.by_)) - greatest(least(e.ay,e.by_), least(f.ay,f.by_))) ELSE 0 END) AS len, min(sqrt(pow(greatest(0, greatest(least(e.ax,e.bx), least(f.ax,f.bx)) - least(greatest(e.ax,e.bx), greatest(f.ax,f.bx))), 2) + pow(greatest(0, greatest(least(e.ay,e.by_), least(f.ay,f.by_)) - least(greatest(e.ay,e.by_), greatest(f.ay,f.by_))), 2))) AS gap FROM {pairs} p JOIN {a}S e ON e.id = p.a JOIN {b}S f ON f.id = p.b GROUP BY 1, 2)",
+        f"{name} AS (SELECT a, b, len, overlap, CASE WHEN overlap > 0 THEN 0 ELSE gap END AS gap FROM {name}_AREA JOIN {name}_LEN USING (a, b) WHERE overlap > 0 OR gap = 0)",
+    )
+
+
 P = """P AS (SELECT *, (xmax-xmin)*(ymax-ymin) AS area, 2*(xmax-xmin+ymax-ymin) AS perimeter FROM (
   SELECT p_partkey AS clean_fid, p_partkey - p_partkey % 3 AS source_fid,
     CAST((p_partkey % 40)*10 AS DOUBLE) AS xmin, CAST((p_partkey // 40)*10 AS DOUBLE) AS ymin,
