@@ -220,13 +220,16 @@ def best_split(members: DataFrame, edges: DataFrame) -> DataFrame:
         part.update(dict.fromkeys(todo, least))
         return pd.DataFrame({"component": key[0], "v": list(part), "part": list(part.values())})
 
-    return members.groupBy("component").cogroup(edges.groupBy("component")).applyInPandas(split, "component long, v long, part long")
+    several = members.where("seed").groupBy("component").agg(F.count("*").alias("_n")).where("_n > 1").select("component")
+    alone = members.join(several, "component", "left_anti").withColumn("part", F.min("v").over(Window.partitionBy("component"))).select("component", "v", "part")
+    members, edges = members.join(several, "component", "left_semi"), edges.join(several, "component", "left_semi")
+    return alone.unionByName(members.groupBy("component").cogroup(edges.groupBy("component")).applyInPandas(split, "component long, v long, part long"))
 
 
-def refine(seeds: DataFrame, pool: DataFrame, score: str = "gain", steps: int = 6) -> DataFrame:
+def refine(seeds: DataFrame, pool: DataFrame, score: str = "gain") -> DataFrame:
     """(anchor, ids, total): hill climbing per anchor from its seed set (anchor, ids) over a bounded pool
     (anchor, v, gain, needs): the best single addition or removal is made while the total rises. ``needs`` names the
-    piece that must be there before (null: none)."""
+    piece that must be there before (null: none). It ends, for the total rises with every move and sets are finite."""
 
     def climb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -235,7 +238,7 @@ def refine(seeds: DataFrame, pool: DataFrame, score: str = "gain", steps: int =
                 gain = {p["v"]: p["gain"] for p in r.pool}
                 needs = {p["v"]: p["needs"] for p in r.pool}
                 now = set(r.ids)
-                for _ in range(steps):
+                while True:
                     moves = [(gain[v], v, True) for v in gain if v not in now and (needs[v] is None or needs[v] in now)]
                     moves += [(-gain[v], v, False) for v in now if v in gain and v != r.anchor and not any(needs[w] == v for w in now if w in needs)]
                     best = max(moves, key=lambda m: (m[0], -m[1]), default=(0.0, 0, True))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.operators.selection import numbered
 from terrane.session import Scratch
 
 
@@ -36,18 +37,21 @@ def component_labels(edges: DataFrame, vertices: DataFrame, scratch: Scratch) ->
 
 
 def dense_ids(labels: DataFrame) -> DataFrame:
-    """Components numbered 0, 1, ... by their smallest vertex (a window over one row per component)."""
-    ids = labels.select("component").distinct().withColumn("component_id", F.dense_rank().over(Window.orderBy("component")) - 1)
-    return labels.join(ids, "component").select("v", F.col("component_id").cast("bigint").alias("component_id"))
+    """Components numbered 0, 1, ... by their smallest vertex."""
+    ids = numbered(labels.select("component").distinct(), ["component"], "component_id")
+    return labels.join(ids, "component").select("v", "component_id")
 
 
 def hops(edges: DataFrame, sources: DataFrame, depth: int) -> DataFrame:
-    """(v, depth) of vertices within ``depth`` hops of any source (v)."""
-    ends = both_ways(edges).select("a", "b")
-    reached = sources.select("v").distinct().withColumn("depth", F.lit(0))
-    frontier = reached
+    """(v, depth) of vertices within ``depth`` hops of any source (v); each hop is a written table."""
+    scratch = Scratch(edges.sparkSession, "hops")
+    ends = scratch.put(both_ways(edges).select("a", "b"), "ends")
+    reached = frontier = scratch.put(sources.select("v").distinct().withColumn("depth", F.lit(0)), "hop0")
     for k in range(1, depth + 1):
-        frontier = frontier.join(ends, frontier["v"] == ends["a"]).select(F.col("b").alias("v")).distinct().join(reached, "v", "left_anti").withColumn("depth", F.lit(k))
+        step = ends.join(frontier.select(F.col("v").alias("a")), "a").select(F.col("b").alias("v")).distinct()
+        frontier = scratch.put(step.join(reached, "v", "left_anti").withColumn("depth", F.lit(k)), f"hop{k}")
+        if frontier.isEmpty():
+            break
         reached = reached.unionByName(frontier)
     return reached
 
@@ -140,15 +144,18 @@ def _greedy_paths(pool: DataFrame) -> DataFrame:
 
 def group_connected(groups: DataFrame, edges: DataFrame, key: list[str], ids: str) -> DataFrame:
     """``key`` with ``connected``: whether the ids of a group hang together. Reached from the smallest id hop by hop;
-    the number of hops is that of the largest group."""
+    hops are written tables and end when no group grows."""
     members = groups.select(*key, F.explode(ids).alias("a"))
     inside = members.join(both_ways(edges).select("a", "b"), "a").join(members.withColumnRenamed("a", "b"), [*key, "b"]).select(*key, "a", "b")
     sizes = groups.select(*key, F.size(ids).alias("n"), F.array_min(ids).alias("a"))
-    most = sizes.agg(F.coalesce(F.max("n"), F.lit(0)).alias("m")).first()["m"]
-    reached = sizes.select(*key, "a")
-    for _ in range(1, most):
-        step = reached.join(inside, [*key, "a"]).select(*key, F.col("b").alias("a"))
-        reached = reached.unionByName(step).distinct()
+    scratch = Scratch(edges.sparkSession, "connected")
+    inside, frontier, reached = scratch.put(inside, "inside"), scratch.put(sizes.select(*key, "a"), "hop0"), None
+    for k in range(1, 1_000_000):
+        reached = frontier if reached is None else reached.unionByName(frontier)
+        step = inside.join(frontier, [*key, "a"]).select(*key, F.col("b").alias("a")).distinct()
+        frontier = scratch.put(step.join(reached, [*key, "a"], "left_anti"), f"hop{k}")
+        if frontier.isEmpty():
+            break
     got = reached.groupBy(*key).agg(F.count("*").alias("got"))
     return sizes.join(got, key, "left").select(*key, (F.coalesce("got", F.lit(0)) >= F.col("n")).alias("connected"))
 

@@ -4,27 +4,69 @@ Polygons are rows (clean_fid, geom, area, xmin, ymin, xmax, ymax, ...); geometry
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions import geo
 from terrane.operators import joins
+from terrane.operators.selection import numbered
+from terrane.session import Scratch
+
+UNION_CELL = 256.0
 
 
 def deoverlap(polygons: DataFrame, order: list[str], least: float) -> DataFrame:
-    """(clean_fid, geom, area, removed): every polygon without the parts of those before it in ``order``.
+    """(clean_fid, geom, area, removed): every polygon without the parts that pieces accepted before it in ``order`` hold.
 
+    Cutting by all earlier polygons gives the same, unless a piece below ``least`` was dropped and leaves its part to
+    others; only then the pieces are accepted in rounds, each polygon once all earlier ones it overlaps are decided.
     The earlier neighbours of a polygon are gathered per polygon (neighbours only), never all."""
-    rank = F.struct(*order, "clean_fid")
-    ranked = polygons.withColumn("rank", rank)
+    scratch = Scratch(polygons.sparkSession, "deoverlap")
+    ranked = polygons.withColumn("rank", F.struct(*order, "clean_fid"))
     pairs = joins.box_pairs(ranked, ranked).where(F.col("b_rank") < F.col("a_rank"))
     cover = pairs.groupBy("a_clean_fid").agg(geo.st_union_all(F.collect_list("b_geom")).alias("cover")).withColumnRenamed("a_clean_fid", "clean_fid")
-    cut = polygons.join(cover, "clean_fid", "left")
-    left = F.when(F.col("cover").isNull(), F.col("geom")).otherwise(geo.st_polygonal(geo.st_difference(F.col("geom"), F.col("cover")), least))
-    out = cut.withColumn("left", left).withColumn("left_area", F.coalesce(geo.st_shape(F.col("left"))["area"], F.lit(0.0)))
+    uncut = F.when(F.col("cover").isNull(), F.col("geom")).otherwise(geo.st_difference(F.col("geom"), F.col("cover")))
+    cut = polygons.join(cover, "clean_fid", "left").withColumn("whole", uncut)
+    out = scratch.put(cut.select("clean_fid", "area", geo.st_polygonal(F.col("whole"), least).alias("left"), F.coalesce(geo.st_shape(F.col("whole"))["area"], F.lit(0.0)).alias("kept")), "cut")
+    out = out.withColumn("left_area", F.coalesce(geo.st_shape(F.col("left"))["area"], F.lit(0.0)))
+    if not out.where("kept - left_area > 1e-9").isEmpty():
+        return _deoverlap_in_rounds(polygons, pairs.select(F.col("a_clean_fid").alias("later"), F.col("b_clean_fid").alias("earlier")), least, scratch)
+    return out.select("clean_fid", F.col("left").alias("geom"), F.col("left_area").alias("area"), (F.col("area") - F.col("left_area")).alias("removed"))
+
+
+def _deoverlap_in_rounds(polygons: DataFrame, pairs: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    pairs = scratch.put(pairs, "pairs")
+    open_ = scratch.put(polygons.select("clean_fid", "geom", "area"), "open0")
+    accepted, done, r = None, [], 0
+    while not open_.isEmpty():
+        r += 1
+        waits = pairs.join(open_.select(F.col("clean_fid").alias("earlier")), "earlier", "left_semi").select(F.col("later").alias("clean_fid"))
+        due = scratch.put(open_.join(waits, "clean_fid", "left_anti"), f"due{r}")
+        if accepted is None:
+            piece = due.withColumn("left", geo.st_polygonal(F.col("geom"), least))
+        else:
+            cover = pairs.join(due.select(F.col("clean_fid").alias("later")), "later", "left_semi").join(accepted.withColumnRenamed("clean_fid", "earlier"), "earlier")
+            cover = cover.groupBy(F.col("later").alias("clean_fid")).agg(geo.st_union_all(F.collect_list("left")).alias("cover"))
+            rest = F.when(F.col("cover").isNull(), F.col("geom")).otherwise(geo.st_difference(F.col("geom"), F.col("cover")))
+            piece = due.join(cover, "clean_fid", "left").withColumn("left", geo.st_polygonal(rest, least))
+        done.append(scratch.put(piece.select("clean_fid", "area", "left", F.coalesce(geo.st_shape(F.col("left"))["area"], F.lit(0.0)).alias("left_area")), f"done{r}"))
+        open_ = scratch.put(open_.join(due.select("clean_fid"), "clean_fid", "left_anti"), f"open{r}")
+        fresh = done[-1].where("left_area > 0").select("clean_fid", "left")
+        accepted = fresh if accepted is None else accepted.unionByName(fresh)
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
     return out.select("clean_fid", F.col("left").alias("geom"), F.col("left_area").alias("area"), (F.col("area") - F.col("left_area")).alias("removed"))
 
 
+def union_of(df: DataFrame, key: str) -> DataFrame:
+    """(key, geom): the union of the polygons (key, geom, xmin, ymin) of each key, first by cells of the plane, whose inner
+    borders vanish, then of the cells; so no row gathers all polygons of a large group."""
+    cell = lambda c: F.floor(F.col(c) / UNION_CELL)
+    near = df.groupBy(key, cell("xmin").alias("_cx"), cell("ymin").alias("_cy")).agg(geo.st_union_all(F.collect_list("geom")).alias("geom"))
+    return near.groupBy(key).agg(geo.st_union_all(F.collect_list("geom")).alias("geom"))
+
+
 def overlap_total(polygons: DataFrame, tolerance: float, most: int | None = None) -> DataFrame:
     """One row: pairs that overlap by more than ``tolerance``, their total, and whether all pairs were looked at."""
     pairs = joins.with_contact(joins.box_pairs(polygons, polygons, same=True)).where(F.col("overlap") > tolerance).select("overlap")
@@ -38,12 +80,12 @@ def hole_rows(polygons: DataFrame, least: float, most: float, first_id: int) ->
     """(clean_fid, parent, geom, area): holes within an area window, with negative ids from ``first_id`` down."""
     holes = polygons.select(F.col("clean_fid").alias("parent"), F.posexplode(geo.st_holes(F.col("geom"), least)).alias("pos", "geom"))
     sized = holes.withColumn("area", geo.st_shape(F.col("geom"))["area"]).where(F.col("area") <= most)
-    return sized.withColumn("clean_fid", F.lit(first_id) - F.row_number().over(Window.orderBy("parent", "pos")) + 1).select("clean_fid", "parent", "geom", "area")
+    return numbered(sized, ["parent", "pos"], "_n").withColumn("clean_fid", F.lit(first_id) - F.col("_n")).select("clean_fid", "parent", "geom", "area")
 
 
 def coverage_gaps(polygons: DataFrame, component: str, least: float, most: float) -> DataFrame:
     """(component, geom, area): holes in the union of each component that no polygon of it fills."""
-    merged = polygons.groupBy(component).agg(geo.st_union_all(F.collect_list("geom")).alias("u"))
+    merged = union_of(polygons, component).withColumnRenamed("geom", "u")
     return merged.select(component, F.explode(geo.st_holes(F.col("u"), least)).alias("geom")).withColumn("area", geo.st_shape(F.col("geom"))["area"]).where(F.col("area") <= most)
 
 
@@ -67,14 +109,9 @@ def coverage_of_boxes(targets: DataFrame, polygons: DataFrame, key: str) -> Data
 
 
 def with_box(df: DataFrame) -> DataFrame:
-    """xmin, ymin, xmax, ymax of a geometry column, by its envelope."""
-    text = geo.st_to_text(geo.st_envelope(F.col("geom")))
-    numbers = F.transform(F.regexp_extract_all(text, F.lit(r"(-?[0-9.]+(?:E-?[0-9]+)?) (-?[0-9.]+(?:E-?[0-9]+)?)"), F.lit(1)), lambda v: v.cast("double"))
-    others = F.transform(F.regexp_extract_all(text, F.lit(r"(-?[0-9.]+(?:E-?[0-9]+)?) (-?[0-9.]+(?:E-?[0-9]+)?)"), F.lit(2)), lambda v: v.cast("double"))
-    return (
-        df.withColumn("_x", numbers).withColumn("_y", others)
-        .select(*df.columns, F.array_min("_x").alias("xmin"), F.array_min("_y").alias("ymin"), F.array_max("_x").alias("xmax"), F.array_max("_y").alias("ymax"))
-    )
+    """xmin, ymin, xmax, ymax of a geometry column."""
+    box = df.withColumn("_b", geo.st_box(F.col("geom")))
+    return box.select(*df.columns, *[F.col("_b")[i].alias(n) for i, n in enumerate(("xmin", "ymin", "xmax", "ymax"))])
 
 
 def absorb(parts: DataFrame, hosts: DataFrame, share: float) -> DataFrame:
@@ -96,7 +133,8 @@ def window_grid(bounds: DataFrame, size: float, overlap: float) -> DataFrame:
 
 def merge_groups(polygons: DataFrame, target: DataFrame) -> DataFrame:
     """(target, geom, area, members): polygons merged into the target they are assigned to (clean_fid, target)."""
-    g = polygons.join(target, "clean_fid").groupBy("target").agg(geo.st_union_all(F.collect_list("geom")).alias("geom"), F.array_sort(F.collect_list("clean_fid")).alias("members"))
+    moved = polygons.join(target, "clean_fid")
+    g = union_of(moved, "target").join(moved.groupBy("target").agg(F.array_sort(F.collect_list("clean_fid")).alias("members")), "target")
     return g.select("target", "geom", geo.st_shape(F.col("geom"))["area"].alias("area"), "members")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.session import Scratch
@@ -82,3 +82,13 @@ def class_sample(df: DataFrame, label: str, key: str, positives: float, negative
     """Each class thinned to a share of its rows by a hash of the key; the same rows on every run."""
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
     return df.where(F.when(F.col(label) == 1, draw < positives).otherwise(draw < negatives))
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``name`` = 0, 1, ... in the order of the given columns, which must be unique. Rows are spread by ranges,
+    counted per range and numbered within it, so no task sorts them all."""
+    parts = Scratch(df.sparkSession, "numbered").put(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "parts")
+    counts = parts.groupBy("_p").agg(F.count("*").alias("_n"))  # one row a range
+    before = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    at = F.col("_base") + F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    return parts.join(F.broadcast(before), "_p").withColumn(name, at.cast("bigint")).drop("_p", "_base")

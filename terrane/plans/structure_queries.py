@@ -32,6 +32,11 @@ _STRONG = "S AS (SELECT a, b, len FROM E WHERE len >= 8)"
 _BOTH = "W AS (SELECT a, b, len FROM S UNION ALL SELECT b, a, len FROM S)"
 
 
+def _components(ways: str) -> str:
+    """SQL of (v, component) over edges both ways."""
+    return f"(WITH RECURSIVE reach AS (SELECT a AS v, a AS low FROM {ways} UNION SELECT w.b, r.low FROM reach r JOIN {ways} w ON w.a = r.v WHERE r.low < w.b) SELECT v, min(low) AS component FROM reach GROUP BY v)"
+
+
 def _strong(spark: SparkSession, d: str) -> DataFrame:
     return _short(_edges(spark, d)).where("len >= 8")
 
@@ -66,7 +71,14 @@ def groups_of_two(spark, d):
     return graph.connected_groups(_short(_edges(spark, d)), anchors, 2, 4).select("anchor", F.array_join("ids", "|").alias("ids"), "shared")
 
 
-@query()
+def _level(k: int) -> str:
+    """SQL of the groups of k pieces from those of k - 1, sixteen per anchor."""
+    return f"""G{k} AS (SELECT anchor, ids, shared FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY shared DESC, ids) AS rn FROM (SELECT DISTINCT anchor, list_sort(list_append(ids, b)) AS ids, shared + more AS shared FROM (
+  SELECT g.anchor, g.ids, g.shared, w.b, sum(w.len) AS more FROM (SELECT anchor, ids, shared, unnest(ids) AS v FROM G{k - 1}) g JOIN (SELECT a, b, len FROM E UNION ALL SELECT b, a, len FROM E) w ON w.a = g.v AND w.len > 0 WHERE NOT list_contains(g.ids, w.b) GROUP BY 1, 2, 3, 4))) WHERE rn <= 16)"""
+
+
+@query(sql(P, E, "G1 AS (SELECT clean_fid AS anchor, [clean_fid] AS ids, 0.0::DOUBLE AS shared FROM P WHERE theme = 'Building')", _level(2), _level(3), _level(4),
+           body="SELECT anchor, array_to_string(ids, '|') AS ids, shared FROM (SELECT * FROM G1 UNION ALL SELECT * FROM G2 UNION ALL SELECT * FROM G3 UNION ALL SELECT * FROM G4)"))
 def groups_enumerated(spark, d):
     """Connected groups of up to four pieces round each anchor, with a beam of 16 per size."""
     anchors = fx.parcels(spark, d).where("theme = 'Building'").select(F.col("clean_fid").alias("v"))
@@ -89,7 +101,9 @@ def combo_quota(spark, d):
     return graph.combinations(_pool(spark, d), 2, 5).select("anchor", F.array_join("ids", "|").alias("ids"), "cost")
 
 
-@query()
+@query(sql(P, E, _POOL, body="""SELECT anchor, array_to_string(ids, '|') AS ids FROM (
+  WITH RECURSIVE sub AS (SELECT anchor, [v] AS ids, v AS top FROM POOL UNION ALL SELECT s.anchor, list_append(s.ids, p.v), p.v FROM sub s JOIN POOL p ON p.anchor = s.anchor AND p.v > s.top) SELECT * FROM sub)
+  WHERE len(list_filter(ids, lambda v: v % 3 = 1 AND NOT list_contains(ids, v - 1))) = 0"""))
 def powerset_with_parents(spark, d):
     pool = _pool(spark, d).select("anchor", "v", F.when(F.col("v") % 3 == 1, F.col("v") - 1).alias("parent"))
     return graph.subsets(pool, 6).select("anchor", exprs.ids_to_text(F.col("ids")).alias("ids"))
@@ -102,12 +116,14 @@ def group_connectivity(spark, d):
     return graph.group_connected(star, e, ["clean_fid"], "ids")
 
 
-@query()
+@query(sql(P, E, _STRONG, _BOTH, body="""SELECT a, b FROM S WHERE (a, b, b) NOT IN (SELECT (ea, eb, v) FROM (
+  WITH RECURSIVE r AS (SELECT a AS ea, b AS eb, a AS v FROM S UNION SELECT r.ea, r.eb, w.b FROM r JOIN W w ON w.a = r.v WHERE NOT (least(w.a, w.b) = r.ea AND greatest(w.a, w.b) = r.eb)) SELECT * FROM r))"""))
 def bridge_edges(spark, d):
     return graph.bridges(_strong(spark, d), Scratch(spark, "bridges"))
 
 
-@query()
+@query(sql(P, R, E, _STRONG, _BOTH, "REF AS (SELECT p.clean_fid AS v, min(r.council_fid) AS ref FROM P p JOIN R r ON p.xmin BETWEEN r.xmin AND r.xmax AND p.ymin BETWEEN r.ymin AND r.ymax GROUP BY 1)",
+           "K AS (SELECT w.a, w.b FROM W w LEFT JOIN REF x ON x.v = w.a LEFT JOIN REF y ON y.v = w.b WHERE x.ref IS NULL OR y.ref IS NULL OR x.ref = y.ref UNION SELECT a, a FROM W)", body="SELECT v, component FROM " + _components("K")))
 def split_by_reference(spark, d):
     """Components after edges between parcels of different councils are dropped."""
     p = fx.parcels(spark, d).select("clean_fid", F.col("xmin").alias("x"), F.col("ymin").alias("y"))
@@ -116,7 +132,9 @@ def split_by_reference(spark, d):
     return graph.split_by_reference(e, own, Scratch(spark, "split"))
 
 
-@query()
+@query(sql(P, E, _STRONG, _BOTH, f"C AS (SELECT v, component FROM {_components('W')})",
+           "BAD AS (SELECT component FROM C JOIN P p ON p.clean_fid = C.v GROUP BY 1 HAVING sum(area) / ((max(xmax) - min(xmin)) * (max(ymax) - min(ymin))) < 0.7)",
+           body="SELECT S.a, S.b, S.len FROM S JOIN C ON C.v = S.a WHERE C.component NOT IN (SELECT component FROM BAD) OR S.len >= 9"))
 def shape_guarded_edges(spark, d):
     """Weak edges are dropped inside components whose parcels fill little of their common box."""
     e = Scratch(spark, "guard-edges").put(_strong(spark, d), "e")
@@ -127,7 +145,14 @@ def shape_guarded_edges(spark, d):
     return graph.shape_guard(e, labels, boxes.where("area / box < 0.7").select("component"), F.col("len") >= 9)
 
 
-@query()
+def _pass(k: int) -> str:
+    """SQL of the polygons held after pass k."""
+    return f"""H{k} AS (SELECT v, owner, pass FROM H{k - 1} UNION ALL SELECT v, owner, {k} FROM (SELECT v, owner, row_number() OVER (PARTITION BY v ORDER BY len DESC, owner) AS rn FROM (
+  SELECT w.a AS v, h.owner, sum(w.len) AS len FROM (SELECT a, b, len FROM E UNION ALL SELECT b, a, len FROM E) w JOIN H{k - 1} h ON h.v = w.b JOIN CNT c ON c.clean_fid = w.a
+  WHERE w.len > 0 AND c.n = 0 AND w.a NOT IN (SELECT v FROM H{k - 1}) GROUP BY 1, 2 HAVING sum(w.len) >= 0.5)) WHERE rn = 1)"""
+
+
+@query(sql(P, U, CNT, E, "H0 AS (SELECT clean_fid AS v, clean_fid AS owner, 0 AS pass FROM CNT WHERE n > 0)", _pass(1), _pass(2), _pass(3), _pass(4), body="SELECT v, owner, CAST(pass AS INTEGER) AS pass FROM H4"))
 def attachment_passes(spark, d):
     """Parcels without points join the owner they share most border with, pass by pass."""
     c = _counted(spark, d)
@@ -181,7 +206,9 @@ def dataset_invariants(spark, d):
     return features.invariant_violations(fx.parcels(spark, d), {"has_area": "area > 0", "narrow": "xmax - xmin <= 11", "theme": "theme <> 'Water'"})
 
 
-@query()
+@query(sql(P, """F AS (SELECT clean_fid, count(*) AS area FROM (SELECT clean_fid, row_number() OVER (PARTITION BY cx, cy ORDER BY CASE WHEN theme LIKE '%Building%' THEN 0 WHEN theme LIKE 'Roads%' THEN 1 ELSE 2 END, area, clean_fid) AS rn
+  FROM P, LATERAL (SELECT unnest(generate_series(CAST(xmin AS BIGINT), CAST(xmax AS BIGINT) - 1)) AS cx), LATERAL (SELECT unnest(generate_series(CAST(ymin AS BIGINT), CAST(ymax AS BIGINT) - 1)) AS cy)) WHERE rn = 1 GROUP BY 1)""",
+           body="SELECT p.clean_fid, CAST(coalesce(F.area, 0) AS DOUBLE) AS area, p.area - coalesce(F.area, 0) AS removed FROM P p LEFT JOIN F ON F.clean_fid = p.clean_fid"))
 def deoverlap_area(spark, d):
     """Parcels cut by those before them in order of role and area; no two overlap afterwards."""
     p = fx.with_geometry(fx.parcels(spark, d)).withColumn("role_rank", F.when(F.col("theme").contains("Building"), 0).when(F.col("theme").startswith("Roads"), 1).otherwise(2))

@@ -44,9 +44,12 @@ def ship(spark: SparkSession) -> None:
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share. A cluster names it in ``spark.checkpoint.dir``; only where
-    that is unset (tests on one machine) a local folder is made and recorded there."""
+    that is unset and the session runs on one machine (tests) a local folder is made and recorded there; a cluster
+    without a shared folder is an error."""
     root = spark.conf.get(SCRATCH_CONF, None) or _java_conf(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError(f"{SCRATCH_CONF} must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="terrane-scratch-")
         spark.conf.set("terrane.scratch", root)
     return root.rstrip("/")
@@ -65,7 +68,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, tag: str) -> None:
         self.spark = spark
-        self.base = f"{scratch_root(spark)}/terrane/{tag}-{uuid.uuid4().hex}"
+        self.base = f"{scratch_root(spark)}/terrane/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
@@ -73,6 +76,42 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, f"{self.base}/{name}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables this application has written with :class:`Scratch`; results read from them must be stored before."""
+    remove(spark, f"{scratch_root(spark)}/terrane/{spark.sparkContext.applicationId}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system Spark can reach."""
+    where, system = _file_system(spark, path)
+    return system.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, system = _file_system(spark, path)
+    system.delete(where, True)
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change) of a file or of the files of a folder."""
+    where, system = _file_system(spark, path)
+    found = system.globStatus(where)
+    files = [f for one in (found or []) for f in (system.listStatus(one.getPath()) if one.isDirectory() else [one])]
+    return sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    where, system = _file_system(spark, path)
+    out = system.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -14,6 +14,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.session import exists
+
 Fetch = Callable[[tuple[float, float, float, float], int, int], tuple[int, dict[str, str], str]]
 
 
@@ -58,8 +60,8 @@ def fetch_window(fetch: Fetch, store: str, window: int, box: tuple[float, float,
         n = len(data.get("features", []))
         total += n
         if n < size:
-            break
-    return total
+            return total
+    raise RuntimeError(f"window {window}: more than {most_pages} pages; nothing is recorded as finished")
 
 
 def download(spark: SparkSession, windows: DataFrame, fetch: Fetch, store: str, size: int, signature: str) -> DataFrame:
@@ -67,11 +69,9 @@ def download(spark: SparkSession, windows: DataFrame, fetch: Fetch, store: str,
 
     ``store`` is a folder all executors share."""
     manifest = f"{store}/manifest_{signature[:16]}"
-    try:
-        done = spark.read.schema("window int, features long").parquet(manifest)
-        todo = windows.join(done, "window", "left_anti")
-    except Exception:  # no manifest yet
-        todo = windows
+    todo = windows
+    if exists(spark, manifest):
+        todo = windows.join(spark.read.schema("window int, features long").parquet(manifest), "window", "left_anti")
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd

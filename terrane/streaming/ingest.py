@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.operators.selection import first_key
+from terrane.session import exists
 from terrane.sources.files import features_of
 
 
@@ -21,19 +22,19 @@ def page_features(pages: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, folder: str, target: str, checkpoint: str) -> int:
-    """Take in all new page files of a folder; gives the number of rows stored after it. Safe to run again."""
+    """Take in all new page files of a folder; gives the number of rows stored after it. Safe to run again: each batch
+    writes its own part of the target, so a batch that is repeated after a failure replaces what it wrote before."""
     stream = spark.readStream.format("text").option("wholetext", "true").load(folder)
 
-    def store(batch: DataFrame, _: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
         rows = page_features(batch).dropDuplicates(["key"])
-        try:
-            rows = rows.join(spark.read.parquet(target).select("key"), "key", "left_anti")
-        except Exception:  # first batch
-            pass
-        rows.write.mode("append").parquet(target)
+        if exists(spark, target):
+            before = spark.read.parquet(target).where(F.col("batch") != number).select("key")
+            rows = rows.join(before, "key", "left_anti")
+        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(target).count()
+    return spark.read.parquet(target).count() if exists(spark, target) else 0
 
 
 def windowed_counts(events: DataFrame, at: str, kind: str, width: str, late: str) -> DataFrame:
