@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions import geo
 from terrane.operators import joins
+from terrane.operators import polygons as polygons_
 from terrane.operators.selection import numbered
 from terrane.session import Scratch
 
@@ -23,7 +24,7 @@ def deoverlap(polygons: DataFrame, order: list[str], least: float) -> DataFrame:
     The earlier neighbours of a polygon are gathered per polygon (neighbours only), never all."""
     scratch = Scratch(polygons.sparkSession, "deoverlap")
     ranked = polygons.withColumn("rank", F.struct(*order, "clean_fid"))
-    pairs = joins.box_pairs(ranked, ranked).where(F.col("b_rank") < F.col("a_rank"))
+    pairs = polygons_.candidates(ranked, ranked).where(F.col("b_rank") < F.col("a_rank"))
     cover = pairs.groupBy("a_clean_fid").agg(geo.st_union_all(F.collect_list("b_geom")).alias("cover")).withColumnRenamed("a_clean_fid", "clean_fid")
     uncut = F.when(F.col("cover").isNull(), F.col("geom")).otherwise(geo.st_difference(F.col("geom"), F.col("cover")))
     cut = polygons.join(cover, "clean_fid", "left").withColumn("whole", uncut)

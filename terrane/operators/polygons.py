@@ -24,8 +24,14 @@ _BOX = ("xmin", "ymin", "xmax", "ymax")
 def with_shape(df: DataFrame, wkt: str = "wkt") -> DataFrame:
     """``df`` with geom, box, area and perimeter of a polygon text; rows without a readable one are left out."""
     geo.register(df.sparkSession)
+    return with_measures(df.drop("geom").withColumn("geom", geo.st_from_text(F.col(wkt))))
+
+
+def with_measures(df: DataFrame) -> DataFrame:
+    """``df`` with box, area and perimeter of its geom; rows without geometry are left out."""
+    geo.register(df.sparkSession)
     names = [*_BOX, "area", "perimeter"]
-    out = df.drop("geom", *names).withColumn("geom", geo.st_from_text(F.col(wkt))).withColumn("_b", geo.st_box(F.col("geom"))).where("_b is not null")
+    out = df.drop(*names).withColumn("_b", geo.st_box(F.col("geom"))).where("_b is not null")
     return out.select("*", *[F.col("_b")[i].alias(n) for i, n in enumerate(names)]).drop("_b")
 
 
@@ -99,6 +105,7 @@ def count_points(points: DataFrame, polygons: DataFrame, pid: str, key: str, str
 def nearest(points: DataFrame, polygons: DataFrame, pid: str, key: str, reach: float, farthest: float | None = None) -> DataFrame:
     """(pid, key, dist) of the polygon nearest to every point; ties by area, then key. Points with nothing within ``reach``
     ask again within four times as much, up to ``farthest`` (or as far as the tables lie apart), so only few ask far."""
+    geo.register(points.sparkSession)
     scratch = Scratch(points.sparkSession, "nearest")
     text = F.concat(F.lit("POINT ("), F.col("x").cast("string"), F.lit(" "), F.col("y").cast("string"), F.lit(")"))
     asked = scratch.put(points.select(pid, "x", "y", geo.st_from_text(text).alias("geom"), F.col("x").alias("xmin"), F.col("y").alias("ymin"), F.col("x").alias("xmax"), F.col("y").alias("ymax")), "asked")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrane.functions import exprs, geo
-from terrane.operators import joins, polygons
+from terrane.operators import candidates, graph, joins, polygons
 from terrane.plans import fixtures as fx
 from terrane.plans.fixtures import COUNCIL_SQL, SHAPE_SQL, B, P, R, U, edge_tables, pair_table, sql
 from terrane.plans.spatial_queries import _CLAIMS, _OWN
@@ -254,6 +254,104 @@ def poly_overlap_validation(spark, d):
     return _edges(fx.shapes(spark, d)).where("overlap > 0.5").agg(F.count("*").alias("pairs"), F.round(F.sum("overlap"), 6).alias("total"), F.max("overlap").alias("most"))
 
 
+#: Pieces of the candidate dataset, in Spark and in SQL.
+_ROLE = "CASE WHEN theme LIKE '%Building%' THEN 'building' WHEN theme LIKE '%Land%' THEN 'land' WHEN theme LIKE 'Roads%' THEN 'road' ELSE 'other' END"
+_PIECE = f"p.clean_fid AS v, source_fid AS source, area, perimeter, {_ROLE} AS role, theme LIKE '%Land%' OR theme LIKE '%Building%' AS plot, CAST(p.clean_fid % 7 = 0 AS INTEGER) AS hole_fill, CAST(p.clean_fid % 11 = 0 AS INTEGER) AS gap_fill"
+SIZE, BEAM = 3, 8
+
+
+def _level(k: int) -> str:
+    return f"""G{k} AS (SELECT anchor, ids, shared FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY shared DESC, ids) AS rn FROM (SELECT DISTINCT anchor, list_sort(list_append(ids, b)) AS ids, shared + more AS shared FROM (
+  SELECT g.anchor, g.ids, g.shared, w.b, sum(w.len) AS more FROM (SELECT anchor, ids, shared, unnest(ids) AS v FROM G{k - 1}) g JOIN {_WAYS} w ON w.a = g.v AND w.len > 0 WHERE NOT list_contains(g.ids, w.b) GROUP BY 1, 2, 3, 4))) WHERE rn <= {BEAM})"""
+
+
+def _sql_features() -> str:
+    """SQL of every column of candidates.group_table, and of the targets."""
+    count, total = lambda cond: f"count(*) FILTER ({cond})", lambda cond, v: f"coalesce(sum({v}) FILTER ({cond}), 0)"
+    added, roles = "v <> anchor", candidates.ROLES
+    inner = {
+        "candidate_clean_count": "count(*)", "candidate_source_count": "count(DISTINCT source)", "anchor_clean_count": count("v = anchor"), "added_clean_count": count(added), "area_sum": "sum(area)", "area_max": "max(area)", "area_min": "min(area)",
+        "perimeter_sum": "sum(perimeter)", "anchor_area": total("v = anchor", "area"), "anchor_outline": total("v = anchor", "perimeter"), "added_area_sum": total(added, "area"), "added_area_max": f"coalesce(max(area) FILTER ({added}), 0)",
+        "uprn_count": "sum(uprns)", "anchor_uprn_count": total("v = anchor", "uprns"), "added_uprn_count": total(added, "uprns"), "added_uprn_polygon_count": count(f"{added} AND uprns > 0"), "contains_other_anchor_area": total(f"{added} AND uprns > 0", "area"),
+        "anchor_role": "max(role) FILTER (v = anchor)", "is_polygon_hole_fill_count": "sum(hole_fill)", "is_enclosed_gap_fill_count": "sum(gap_fill)", "src": "list(DISTINCT source)",
+        **{f"role_{r}_count": count(f"role = '{r}'") for r in roles}, **{f"role_{r}_area": total(f"role = '{r}'", "area") for r in roles}, **{f"added_role_{r}_count": count(f"role = '{r}' AND {added}") for r in roles},
+    }
+    free = "NOT inn AND buprns = 0 AND bplot"
+    outer = {
+        "internal_shared_len": total("inn", "len") + "/2", "anchor_added_shared_len": total("inn AND (v = anchor OR b = anchor)", "len") + "/2", "external_shared_len": total("NOT inn", "len"), "outside_neighbor_count": "count(DISTINCT b) FILTER (NOT inn)",
+        "outside_uprn_neighbor_count": "count(DISTINCT b) FILTER (NOT inn AND buprns > 0)", "outside_building_neighbor_count": "count(DISTINCT b) FILTER (NOT inn AND brole = 'building')", "outside_zero_uprn_plot_neighbor_count": f"count(DISTINCT b) FILTER ({free})",
+        "outside_zero_uprn_plot_shared_len": total(free, "len"), "outside_zero_uprn_plot_best_shared_len": f"coalesce(max(len) FILTER ({free}), 0)", "outside_zero_uprn_plot_max_area": f"coalesce(max(barea) FILTER ({free}), 0)",
+        **{f"outside_zero_uprn_{r}_neighbor_count": f"count(DISTINCT b) FILTER ({free} AND brole = '{r}')" for r in roles}, **{f"outside_zero_uprn_{r}_shared_len": total(f"{free} AND brole = '{r}'", "len") for r in roles},
+    }
+    areas = {"outside_zero_uprn_plot_area": total("TRUE", "barea"), **{f"outside_zero_uprn_{r}_area": total(f"brole = '{r}'", "barea") for r in roles}}
+    ratio = lambda a, b: f"{a}/CASE WHEN {b} = 0 THEN 1 ELSE {b} END"
+    same, union = "len(list_intersect(src, target_sources))", "len(list_distinct(list_concat(src, target_sources)))"
+    more = {
+        "added_source_count": "greatest(candidate_source_count - 1, 0)", "added_area_mean": "CASE WHEN added_clean_count = 0 THEN 0 ELSE added_area_sum/added_clean_count END", "added_area_to_anchor": ratio("added_area_sum", "anchor_area"),
+        "largest_part_area_ratio": ratio("area_max", "area_sum"), "smallest_part_area_ratio": ratio("area_min", "area_sum"), "anchor_added_shared_to_anchor_perimeter": ratio("anchor_added_shared_len", "anchor_outline"),
+        "shared_to_external_shared": ratio("internal_shared_len", "external_shared_len"), "outside_zero_uprn_plot_mean_area": "CASE WHEN outside_zero_uprn_plot_neighbor_count = 0 THEN 0 ELSE outside_zero_uprn_plot_area/outside_zero_uprn_plot_neighbor_count END",
+        "outside_zero_uprn_plot_shared_to_internal": ratio("outside_zero_uprn_plot_shared_len", "internal_shared_len"), "outside_zero_uprn_plot_shared_to_external": ratio("outside_zero_uprn_plot_shared_len", "external_shared_len"),
+        "contains_other_anchor_count": "added_uprn_polygon_count", "role_signature": "concat_ws('|', " + ", ".join(f"CASE WHEN role_{r}_count > 0 THEN '{r}:' || role_{r}_count END" for r in sorted(roles)) + ")",
+        "source_target_overlap_count": f"CASE WHEN target_sources IS NULL THEN 0 ELSE {same} END", "source_target_jaccard": f"CASE WHEN target_sources IS NULL THEN 0 ELSE {same}/greatest({union}, 1) END",
+        "label": f"CASE WHEN target_sources IS NOT NULL THEN CAST({same} = {union} AND {union} > 0 AS INTEGER) END",
+    }
+    cols = lambda d: ", ".join(f"{v} AS {k}" for k, v in d.items())
+    zero = lambda d: ", ".join(f"coalesce({k}, 0) AS {k}" for k in d)
+    body = f"""SELECT * EXCLUDE (src, target_sources), {cols(more)} FROM (SELECT i.*, {zero(outer)}, {zero(areas)}, target_sources FROM
+      (SELECT gid, anchor, {cols(inner)} FROM MEM JOIN N USING (v) GROUP BY 1, 2) i
+      LEFT JOIN (SELECT gid, {cols(outer)} FROM TOU GROUP BY 1) o USING (gid)
+      LEFT JOIN (SELECT gid, {cols(areas)} FROM (SELECT DISTINCT gid, b, brole, barea FROM TOU WHERE {free}) GROUP BY 1) q USING (gid)
+      LEFT JOIN TG t ON t.anchor = i.anchor)"""
+    return sql(
+        *_COUNTED, *_TOUCH, f"N AS (SELECT {_PIECE}, c.n AS uprns FROM P p JOIN CNT c ON c.clean_fid = p.clean_fid)", "G1 AS (SELECT clean_fid AS anchor, [clean_fid] AS ids, 0.0::DOUBLE AS shared FROM P WHERE theme = 'Building')", _level(2), _level(3),
+        "TG AS (SELECT a AS anchor, list(DISTINCT source) AS target_sources FROM (SELECT a, b FROM " + _WAYS + " WHERE len >= 8 UNION SELECT clean_fid, clean_fid FROM P) JOIN N ON N.v = b JOIN P ON P.clean_fid = a WHERE P.theme = 'Building' AND a % 3 <> 1 GROUP BY 1)",
+        "WANT AS (SELECT anchor, list_sort(list(DISTINCT v)) AS ids FROM (SELECT anchor, unnest(target_sources) AS source FROM TG) JOIN N USING (source) GROUP BY 1)",
+        "GR AS (SELECT anchor || ':' || array_to_string(ids, '|') AS gid, anchor, ids FROM (SELECT anchor, ids FROM G1 UNION SELECT anchor, ids FROM G2 UNION SELECT anchor, ids FROM G3 UNION SELECT anchor, ids FROM WANT WHERE list_contains(ids, anchor)))",
+        "MEM AS (SELECT gid, anchor, unnest(ids) AS v FROM GR)",
+        f"TOU AS (SELECT m.gid, m.anchor, m.v, w.b, w.len, x.v IS NOT NULL AS inn, n.role AS brole, n.area AS barea, n.uprns AS buprns, n.plot AS bplot FROM MEM m JOIN {_WAYS} w ON w.a = m.v AND w.len > 0 JOIN N n ON n.v = w.b LEFT JOIN MEM x ON x.gid = m.gid AND x.v = w.b)",
+        body=body,
+    )
+
+
+def _dataset(spark: SparkSession, d: str, shapes: bool) -> DataFrame:
+    c = _counted(spark, d)
+    e = _edges(c)
+    piece = c.alias("p").select(*[F.expr(x) for x in _PIECE.replace("p.clean_fid", "clean_fid").replace("INTEGER", "INT").split(", ")], F.col("n").alias("uprns"), "geom")
+    building = c.where("theme = 'Building'").select(F.col("clean_fid").alias("v"))
+    strong = graph.both_ways(e).where("len >= 8").select("a", F.col("b").alias("v")).unionByName(c.select(F.col("clean_fid").alias("a"), F.col("clean_fid").alias("v")))
+    targets = strong.join(building.select(F.col("v").alias("a")), "a").where("a % 3 <> 1").join(piece.select("v", "source"), "v").groupBy(F.col("a").alias("anchor")).agg(F.collect_set("source").alias("target_sources"))
+    return candidates.candidate_dataset(piece, e, building, targets, SIZE, BEAM, shapes)
+
+
+@query(_sql_features())
+def candidate_dataset(spark, d):
+    """Pool, enumeration, label and all counting features of the candidates of every building, in one plan; two anchors of
+    three have a target, which is what they share a long border with."""
+    return _dataset(spark, d, shapes=False).drop("sources", "target_sources")
+
+
+@query()
+def candidate_dataset_shapes(spark, d):
+    """The same with the shapes of group and anchor: all columns a model reads (no oracle: unions of overlapping forms)."""
+    return _dataset(spark, d, shapes=True).drop("sources", "target_sources")
+
+
+@query(sql(*_SHAPES, *_TOUCH, f"W AS (SELECT a, b, len FROM {_WAYS} WHERE len > 0)", "T AS (SELECT a, sum(len) AS total FROM W GROUP BY 1)", body="""SELECT CAST(W.a AS VARCHAR) || '+' || CAST(W.b AS VARCHAR) AS gid, p.area AS before_area_sum, p.area + q.area AS after_area_sum, q.area AS delta_area_sum,
+  (p.area + q.area)/p.area AS ratio_area_sum, CAST(0 AS DOUBLE) AS before_internal_shared_len, len AS after_internal_shared_len, len AS delta_internal_shared_len, len AS ratio_internal_shared_len,
+  t.total AS before_external_shared_len, t.total + s.total - 2*len AS after_external_shared_len, s.total - 2*len AS delta_external_shared_len, (t.total + s.total - 2*len)/t.total AS ratio_external_shared_len
+  FROM W JOIN P p ON p.clean_fid = W.a JOIN P q ON q.clean_fid = W.b JOIN T t ON t.a = W.a JOIN T s ON s.a = W.b"""))
+def completion_deltas(spark, d):
+    """What adding each neighbour to each single piece changes: area, border inside, border outside, before and after."""
+    c = fx.shapes(spark, d)
+    e = _edges(c).where("len > 0").select("a", "b", "len")
+    nodes = c.select(F.col("clean_fid").alias("v"), F.col("source_fid").alias("source"), "area", "perimeter", exprs.role(F.col("theme"), "anchor").alias("role"), F.lit(0).alias("uprns"), F.lit(True).alias("plot"), F.lit(0).alias("hole_fill"), F.lit(0).alias("gap_fill"))
+    single = c.select(F.col("clean_fid").cast("string").alias("gid"), F.col("clean_fid").alias("anchor"), F.array("clean_fid").alias("ids"))
+    more = candidates.completions(single, e).select(F.concat_ws("+", "gid", F.col("v").cast("string")).alias("gid"), F.col("gid").cast("bigint").alias("anchor"), "ids")
+    measures = ["area_sum", "internal_shared_len", "external_shared_len"]
+    before = candidates.group_table(single, nodes, e).join(more.select("anchor", F.col("gid").alias("to")), "anchor").select(F.col("to").alias("gid"), *measures)
+    return candidates.deltas(before, candidates.group_table(more, nodes, e), "gid", measures)
+
+
 _REAL = ("G AS (SELECT pred_component_id AS id, min(geom_wkt) AS wkt FROM predicted_parcels_with_uprn WHERE pred_component_id IS NOT NULL AND geom_wkt IS NOT NULL GROUP BY 1)", *edge_tables("G"))
 
 
