@@ -96,15 +96,6 @@ def hybrid_patches(spark, d):
     return asm.patch_candidates(pairs, 0.9, 0.8, 9000.0).select("council_fid", "parts", "shared", "largest", "with_points", "reason", "decision")
 
 
-@query(sql(P, R, _OVERLAP, "RUN AS (SELECT *, sum(shared) OVER w AS s, sum(area) OVER w AS a FROM OV WHERE shared > 0 AND v % 3 = 0 WINDOW w AS (PARTITION BY council_fid ORDER BY shared DESC, v ROWS UNBOUNDED PRECEDING))",
-  "IO AS (SELECT *, s/(council_area + a - s) AS iou FROM RUN)", "FL AS (SELECT *, CAST(iou < coalesce(lag(iou) OVER (PARTITION BY council_fid ORDER BY shared DESC, v), -1) AS INTEGER) AS f FROM IO)",
-  body="SELECT council_fid, count(*) AS parts, round(max(iou), 6) AS iou FROM (SELECT *, max(f) OVER (PARTITION BY council_fid ORDER BY shared DESC, v ROWS UNBOUNDED PRECEDING) AS stop FROM FL) WHERE stop = 0 GROUP BY 1"))
-def greedy_iou(spark, d):
-    """Every third parcel, so the pieces do not overlap."""
-    g = asm.greedy_union(_overlaps(spark, d).where("v % 3 = 0"))
-    return g.select("council_fid", F.size("ids").cast("bigint").alias("parts"), F.round("iou", 6).alias("iou"))
-
-
 @query()
 def greedy_iou_all(spark, d):
     """All parcels of a council area, which overlap; the pieces kept and their ratio (no oracle)."""

@@ -130,10 +130,10 @@ def poly_exactly_one_anchor(spark, d):
     return joins.exactly_one(pairs.select(F.col("b_council_fid").alias("council_fid"), F.col("a_clean_fid").alias("anchor")), "council_fid", "anchor")
 
 
-@query(sql(*_SHAPES, *_COUNCIL, body="SELECT DISTINCT O.a AS clean_fid FROM O WHERE O.b % 4 = 1"))
+@query(sql(*_SHAPES, *_COUNCIL, body="SELECT DISTINCT O.a AS clean_fid FROM O JOIN RM t ON t.id = O.b WHERE t.ymin >= 200"))
 def poly_subset_by_target(spark, d):
-    """Polygons that meet a target: every fourth council area is one."""
-    mask = fx.council_shapes(spark, d).where("council_fid % 4 = 1")
+    """Polygons that meet a target: the council areas in the north are the targets."""
+    mask = fx.council_shapes(spark, d).where("ymin >= 200")
     return polygons.touching(fx.shapes(spark, d), mask).select(F.col("a_clean_fid").alias("clean_fid")).distinct()
 
 
@@ -209,12 +209,12 @@ def poly_k0_direct_owner(spark, d):
 
 @query(sql(*_COUNTED, *_TOUCH, _CLAIMS, _OWN, body="""SELECT zero, anchor, round(share, 6) AS share FROM (SELECT c.zero, c.anchor, c.ratio/o.ratio AS share,
   row_number() OVER (PARTITION BY c.zero ORDER BY c.ratio/o.ratio DESC, c.ratio DESC, c.len DESC, c.anchor) AS rn FROM CL c JOIN OWN o ON o.zero = c.zero
-  WHERE c.anchor % 2 = 0 AND o.anchor % 2 <> 0 AND c.anchor <> o.anchor AND c.ratio/o.ratio >= 0.4 AND c.ratio >= 0.05) WHERE rn = 1"""))
+  JOIN P pc ON pc.clean_fid = c.anchor JOIN P po ON po.clean_fid = o.anchor WHERE pc.area >= 100 AND po.area < 100 AND c.anchor <> o.anchor AND c.ratio/o.ratio >= 0.4 AND c.ratio >= 0.05) WHERE rn = 1"""))
 def poly_k0_secondary_claims(spark, d):
-    """A second owner out of an allowed set (here the even ids), where the first is not in it."""
+    """A second owner out of an allowed set (here those of 100 m2 or more), where the first is not in it."""
     c = _counted(spark, d)
     claims = Scratch(spark, "claims").put(_claims(c, _edges(c)), "claims")
-    allowed = c.where("clean_fid % 2 = 0").select(F.col("clean_fid").alias("anchor"))
+    allowed = c.where("area >= 100").select(F.col("clean_fid").alias("anchor"))
     return joins.secondary_owners(claims, joins.direct_owners(claims), allowed, 0.4, 0.05).select("zero", "anchor", F.round("share", 6).alias("share"))
 
 
@@ -304,7 +304,7 @@ def _sql_features() -> str:
       LEFT JOIN TG t ON t.anchor = i.anchor)"""
     return sql(
         *_COUNTED, *_TOUCH, f"N AS (SELECT {_PIECE}, c.n AS uprns FROM P p JOIN CNT c ON c.clean_fid = p.clean_fid)", "G1 AS (SELECT clean_fid AS anchor, [clean_fid] AS ids, 0.0::DOUBLE AS shared FROM P WHERE theme = 'Building')", _level(2), _level(3),
-        "TG AS (SELECT a AS anchor, list(DISTINCT source) AS target_sources FROM (SELECT a, b FROM " + _WAYS + " WHERE len >= 8 UNION SELECT clean_fid, clean_fid FROM P) JOIN N ON N.v = b JOIN P ON P.clean_fid = a WHERE P.theme = 'Building' AND a % 3 <> 1 GROUP BY 1)",
+        "TG AS (SELECT a AS anchor, list(DISTINCT source) AS target_sources FROM (SELECT a, b FROM " + _WAYS + " WHERE len >= 8 UNION SELECT clean_fid, clean_fid FROM P) JOIN N ON N.v = b JOIN P ON P.clean_fid = a JOIN CNT ON CNT.clean_fid = a WHERE P.theme = 'Building' AND CNT.n > 0 GROUP BY 1)",
         "WANT AS (SELECT anchor, list_sort(list(DISTINCT v)) AS ids FROM (SELECT anchor, unnest(target_sources) AS source FROM TG) JOIN N USING (source) GROUP BY 1)",
         "GR AS (SELECT anchor || ':' || array_to_string(ids, '|') AS gid, anchor, ids FROM (SELECT anchor, ids FROM G1 UNION SELECT anchor, ids FROM G2 UNION SELECT anchor, ids FROM G3 UNION SELECT anchor, ids FROM WANT WHERE list_contains(ids, anchor)))",
         "MEM AS (SELECT gid, anchor, unnest(ids) AS v FROM GR)",
@@ -319,14 +319,14 @@ def _dataset(spark: SparkSession, d: str, shapes: bool) -> DataFrame:
     piece = c.alias("p").select(*[F.expr(x) for x in _PIECE.replace("p.clean_fid", "clean_fid").replace("INTEGER", "INT").split(", ")], F.col("n").alias("uprns"), "geom")
     building = c.where("theme = 'Building'").select(F.col("clean_fid").alias("v"))
     strong = graph.both_ways(e).where("len >= 8").select("a", F.col("b").alias("v")).unionByName(c.select(F.col("clean_fid").alias("a"), F.col("clean_fid").alias("v")))
-    targets = strong.join(building.select(F.col("v").alias("a")), "a").where("a % 3 <> 1").join(piece.select("v", "source"), "v").groupBy(F.col("a").alias("anchor")).agg(F.collect_set("source").alias("target_sources"))
+    targets = strong.join(c.where("theme = 'Building' and n > 0").select(F.col("clean_fid").alias("a")), "a").join(piece.select("v", "source"), "v").groupBy(F.col("a").alias("anchor")).agg(F.collect_set("source").alias("target_sources"))
     return candidates.candidate_dataset(piece, e, building, targets, SIZE, BEAM, shapes)
 
 
 @query(_sql_features())
 def candidate_dataset(spark, d):
-    """Pool, enumeration, label and all counting features of the candidates of every building, in one plan; two anchors of
-    three have a target, which is what they share a long border with."""
+    """Pool, enumeration, label and all counting features of the candidates of every building, in one plan; anchors with
+    points have a target, which is what they share a long border with."""
     return _dataset(spark, d, shapes=False).drop("sources", "target_sources")
 
 

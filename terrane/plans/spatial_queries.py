@@ -160,13 +160,6 @@ def k1_indirect_owner(spark, d):
     return best.select(F.col("b").alias("zero"), "owner", F.col("a").alias("via"), "len")
 
 
-@query(sql(P, U, CNT, R, _OVER, body="""SELECT council_fid, min(O.clean_fid) AS anchor FROM O JOIN CNT ON CNT.clean_fid = O.clean_fid WHERE overlap >= 90 AND n = 2 GROUP BY 1 HAVING count(DISTINCT O.clean_fid) = 1"""))
-def reference_exactly_one_anchor(spark, d):
-    anchors = _counted(spark, d).where("n = 2")
-    pairs = joins.box_pairs(anchors, fx.councils(spark, d)).where(joins.overlap_x() * joins.overlap_y() >= 90)
-    return joins.exactly_one(pairs.select(F.col("b_council_fid").alias("council_fid"), F.col("a_clean_fid").alias("anchor")), "council_fid", "anchor")
-
-
 @query(sql(P, U, CNT, L, body="""SELECT council_fid, min(clean_fid) AS anchor FROM (SELECT l.council_fid, p.clean_fid FROM P p JOIN CNT c ON c.clean_fid = p.clean_fid JOIN L l ON p.xmin < l.xmax AND l.xmin < p.xmax AND p.ymin < l.ymax AND l.ymin < p.ymax
   AND (least(p.xmax,l.xmax)-greatest(p.xmin,l.xmin))*(least(p.ymax,l.ymax)-greatest(p.ymin,l.ymin)) >= 90 WHERE c.n > 0) GROUP BY 1 HAVING count(*) = 1"""))
 def exactly_one_anchor_all(spark, d):
@@ -248,12 +241,6 @@ def shape_metrics(spark, d):
     return m.select("clean_fid", *[r(n).alias(n) for n in ("area", "perimeter", "mrr_ratio", "compactness", "regularity", "mrr_long", "mrr_short")], F.abs(r("hull_gap")).alias("hull_gap"))
 
 
-@query(sql(P, E, body="SELECT a, b, round(len, 6) AS len, round(overlap, 6) AS overlap, round(overlap/(p.area+q.area-overlap), 6) AS iou FROM E JOIN P p ON p.clean_fid = a JOIN P q ON q.clean_fid = b WHERE a % 3 = 0"))
-def geometry_pair_measures(spark, d):
-    p = fx.with_geometry(fx.parcels(spark, d))
-    return _pair_measures(joins.box_pairs(p.where("clean_fid % 3 = 0"), p).where("a_clean_fid < b_clean_fid"))
-
-
 def _pair_measures(pairs: DataFrame) -> DataFrame:
     g, h = F.col("a_geom"), F.col("b_geom")
     return pairs.select(
@@ -264,7 +251,7 @@ def _pair_measures(pairs: DataFrame) -> DataFrame:
 
 @query(sql(P, E, body="SELECT a, b, round(len, 6) AS len, round(overlap, 6) AS overlap, round(overlap/(p.area+q.area-overlap), 6) AS iou FROM E JOIN P p ON p.clean_fid = a JOIN P q ON q.clean_fid = b"))
 def geometry_pair_measures_all(spark, d):
-    """Every pair of neighbours; :func:`geometry_pair_measures` looks at a third of them."""
+    """Every pair of neighbours, measured on the geometry."""
     p = fx.with_geometry(fx.parcels(spark, d))
     return _pair_measures(joins.box_pairs(p, p, same=True))
 

@@ -186,12 +186,6 @@ def label_assignment(spark, d):
     return features.label_candidates(p, "m", "r", "w").select("clean_fid", "label", "label_source", "sample_weight")
 
 
-@query(sql(P, E, body="SELECT kind, count(*) AS n FROM (SELECT 'omit' AS kind, a FROM E WHERE len >= 9 UNION ALL SELECT 'omit', a FROM E WHERE len >= 9) GROUP BY 1"))
-def hard_negatives_omit(spark, d):
-    pairs = _short(_edges(spark, d)).where("len >= 9").select(F.concat_ws("-", "a", "b").alias("target"), F.array("a", "b").alias("ids"))
-    return features.hard_negatives(pairs, _short(_edges(spark, d))).where("kind = 'omit'").groupBy("kind").agg(F.count("*").alias("n"))
-
-
 @query()
 def hard_negatives_all(spark, d):
     """Every negative of every kind, row by row; the targets are all pairs with a common border and all source groups (no oracle)."""
@@ -271,49 +265,29 @@ def absorbed_fillers(spark, d):
     return overlay.absorb(fill, holes, 0.98)
 
 
-@query(sql(P, R, """CC AS (SELECT r.council_fid, greatest(0.0, least(p.xmax,r.xmax)-greatest(p.xmin,r.xmin))*greatest(0.0, least(p.ymax,r.ymax)-greatest(p.ymin,r.ymin)) AS o FROM R r JOIN P p ON p.clean_fid % 2 = 0 AND (p.clean_fid // 40) % 2 = 0)""",
-  body="SELECT council_fid, least(sum(o), 8000.0) AS covered, round(least(sum(o), 8000.0)/8000.0, 6) AS ratio, 8000.0 - least(sum(o), 8000.0) AS missing FROM CC GROUP BY 1"))
-def coverage_ratio_missing(spark, d):
-    """Every second parcel of every second row, so the covering parcels do not overlap."""
-    p = fx.with_geometry(fx.parcels(spark, d).where("clean_fid % 2 = 0 and floor(clean_fid / 40) % 2 = 0"))
-    r = fx.with_geometry(fx.councils(spark, d)).withColumn("area", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")))
-    return overlay.coverage_of_boxes(r, p, "council_fid").select("council_fid", F.round("covered", 6).alias("covered"), F.round("ratio", 6).alias("ratio"), F.round("missing", 6).alias("missing"))
-
-
-@query(sql(P, "SRC AS (SELECT source_fid, sum(area) AS area, string_agg(CAST(clean_fid AS VARCHAR), '|' ORDER BY clean_fid) AS members FROM P WHERE clean_fid % 3 <> 1 GROUP BY 1)", body="SELECT source_fid AS target, area, members FROM SRC"))
-def group_merge(spark, d):
-    """The first and third parcel of every source, which lie two pitches apart, merged into one multipart polygon."""
-    p = fx.with_geometry(fx.parcels(spark, d)).where("clean_fid % 3 <> 1")
-    return overlay.merge_groups(p, p.select("clean_fid", F.col("source_fid").alias("target"))).select("target", F.round("area", 6).alias("area"), F.array_join("members", "|").alias("members"))
-
-
 @query(sql(P, body="SELECT clean_fid, area / 2 AS area FROM P"))
 def half_clips(spark, d):
     p = overlay.half_clip(fx.with_geometry(fx.parcels(spark, d)), "clean_fid", 3)
     return p.select("clean_fid", geo.st_shape(F.col("geom"))["area"].alias("area"))
 
 
-@query(sql(P, E, body="SELECT a, b, p.area + len*0.5 AS least FROM E JOIN P p ON p.clean_fid = a WHERE overlap = 0 AND len >= 8 AND a % 2 = 0"))
-def neighbour_slivers(spark, d):
-    """The sliver of a touching neighbour adds at least the shared border times the reach; its area is checked against that floor."""
-    p = fx.with_geometry(fx.parcels(spark, d))
-    pairs = joins.with_contact(joins.box_pairs(p, p, same=True)).where("overlap = 0 and len >= 8 and a_clean_fid % 2 = 0")
-    s = overlay.neighbour_sliver(pairs, 0.5).withColumn("area", geo.st_shape(F.col("geom"))["area"])
-    floor = F.col("a_area") + F.col("len") * 0.5
-    return s.where(F.col("area") >= floor - 1e-9).select(F.col("a_clean_fid").alias("a"), F.col("b_clean_fid").alias("b"), floor.alias("least"))
+#: The parcels as unit cells: areas of unions are counts of distinct cells.
+_CELLS = "Q AS (SELECT clean_fid, source_fid, cx, cy FROM P, LATERAL (SELECT unnest(generate_series(CAST(xmin AS BIGINT), CAST(xmax AS BIGINT) - 1)) AS cx), LATERAL (SELECT unnest(generate_series(CAST(ymin AS BIGINT), CAST(ymax AS BIGINT) - 1)) AS cy))"
 
 
-@query()
+@query(sql(P, R, _CELLS, body="""SELECT council_fid, CAST(count(cx) AS DOUBLE) AS covered, round(count(cx)/8000.0::DOUBLE, 6) AS ratio, 8000.0::DOUBLE - count(cx) AS missing
+  FROM R LEFT JOIN (SELECT DISTINCT cx, cy FROM Q) ON cx >= xmin AND cx < xmax AND cy >= ymin AND cy < ymax GROUP BY 1"""))
 def coverage_ratio_missing_all(spark, d):
-    """Every council area by the union of all parcels, which overlap (no oracle: SQL has no union of boxes)."""
+    """Every council area by the union of all parcels, which overlap."""
     p = fx.with_geometry(fx.parcels(spark, d))
     r = fx.with_geometry(fx.councils(spark, d)).withColumn("area", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")))
     return overlay.coverage_of_boxes(r, p, "council_fid").select("council_fid", F.round("covered", 6).alias("covered"), F.round("ratio", 6).alias("ratio"), F.round("missing", 6).alias("missing"))
 
 
-@query()
+@query(sql(P, _CELLS, body="""SELECT source_fid AS target, CAST(area AS DOUBLE) AS area, members FROM (SELECT source_fid, count(*) AS area FROM (SELECT DISTINCT source_fid, cx, cy FROM Q) GROUP BY 1)
+  JOIN (SELECT source_fid, string_agg(CAST(clean_fid AS VARCHAR), '|' ORDER BY clean_fid) AS members FROM P GROUP BY 1) USING (source_fid)"""))
 def group_merge_all(spark, d):
-    """All parcels of every source merged into one polygon; they may overlap (no oracle)."""
+    """All parcels of every source merged into one polygon; they may overlap."""
     p = fx.with_geometry(fx.parcels(spark, d))
     return overlay.merge_groups(p, p.select("clean_fid", F.col("source_fid").alias("target"))).select("target", F.round("area", 6).alias("area"), F.array_join("members", "|").alias("members"))
 

@@ -116,21 +116,6 @@ def semi_anti_by_ids(spark, d):
     return c.join(big, "c_custkey", "left_semi").withColumn("has_large", F.lit(True)).unionByName(c.join(big, "c_custkey", "left_anti").withColumn("has_large", F.lit(False)))
 
 
-@query(sql(C, body="""SELECT l AS left_id, r AS right_id, cls FROM (
-  SELECT *, row_number() OVER (PARTITION BY l ORDER BY k DESC, k*1.0/(nl+nr-k) DESC, r) AS rn, CASE WHEN k = nl AND k = nr THEN 'exact' WHEN k = nl THEN 'partial' WHEN k = nr THEN 'overmerge' ELSE 'mismatch' END AS cls
-  FROM (SELECT a.anchor AS l, b.anchor AS r, count(*) AS k FROM (SELECT DISTINCT anchor, part FROM C WHERE anchor % 10 = 0) a JOIN (SELECT DISTINCT anchor, part FROM C WHERE anchor % 10 = 1) b USING (part) GROUP BY 1, 2)
-  JOIN (SELECT anchor AS l, count(DISTINCT part) AS nl FROM C GROUP BY 1) USING (l) JOIN (SELECT anchor AS r, count(DISTINCT part) AS nr FROM C GROUP BY 1) USING (r)) WHERE rn = 1"""))
-def set_containment_classes(spark, d):
-    """The two sides are the candidate sets and the target sets of the operator, told apart by their last digit."""
-    c = fx.candidates(spark, d).select("anchor", "part").distinct()
-    size = c.groupBy("anchor").agg(F.count("*").alias("n"))
-    both = joins.set_overlaps(c.where("anchor % 10 = 0").select(F.col("anchor").alias("left_id"), F.col("part").alias("item")), c.where("anchor % 10 = 1").select(F.col("anchor").alias("right_id"), F.col("part").alias("item")))
-    j = both.join(size.select(F.col("anchor").alias("left_id"), F.col("n").alias("nl")), "left_id").join(size.select(F.col("anchor").alias("right_id"), F.col("n").alias("nr")), "right_id")
-    j = j.withColumn("jac", F.col("both") / (F.col("nl") + F.col("nr") - F.col("both")))
-    best = j.groupBy("left_id").agg(F.max(F.struct("both", "jac", (-F.col("right_id")).alias("m"), "nl", "nr")).alias("b"))
-    return best.select("left_id", (-F.col("b.m")).alias("right_id"), joins.containment_class(F.col("b.both"), F.col("b.nl"), F.col("b.nr")).alias("cls"))
-
-
 @query(sql(C, "D AS (SELECT DISTINCT anchor, part FROM C)", "N AS (SELECT anchor, count(*) AS n FROM D GROUP BY 1)", body="""SELECT N.anchor AS left_id, r AS right_id, coalesce(cls, 'none') AS cls FROM N LEFT JOIN (
   SELECT l, r, row_number() OVER (PARTITION BY l ORDER BY k DESC, k*1.0/(nl+nr-k) DESC, r) AS rn, CASE WHEN k = nl AND k = nr THEN 'exact' WHEN k = nl THEN 'partial' WHEN k = nr THEN 'overmerge' ELSE 'mismatch' END AS cls
   FROM (SELECT l, r, k, a.n AS nl, b.n AS nr FROM (SELECT a.anchor AS l, b.anchor AS r, count(*) AS k FROM D a JOIN D b ON a.part = b.part WHERE a.anchor % 2 = 0 AND b.anchor % 2 = 1 GROUP BY 1, 2) JOIN N a ON a.anchor = l JOIN N b ON b.anchor = r)) ON l = N.anchor AND rn = 1

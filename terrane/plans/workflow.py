@@ -24,14 +24,6 @@ def anchors(points: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFrame
     return counted.where("n > 0"), counted.where("n = 0")
 
 
-def anchor_workflow(spark: SparkSession, d: str) -> DataFrame:
-    """(uprn, origin, parcel, area): the council parcel where it has exactly one anchor of two points, else the anchor with what it owns.
-    Anchors with another number of points are not counted here; :func:`anchor_workflow_all` counts all."""
-    parcels, points, councils = fx.parcels(spark, d), fx.uprns(spark, d), fx.councils(spark, d)
-    held, free = anchors(points, parcels)
-    return _assigned(points, held, free, held.where("n = 2"), councils)
-
-
 def anchor_workflow_all(spark: SparkSession, d: str) -> DataFrame:
     """(uprn, origin, parcel, area): the council parcel where it has exactly one anchor, else the anchor with what it owns."""
     parcels, points = fx.parcels(spark, d), fx.uprns(spark, d)
@@ -52,14 +44,6 @@ def _assigned(points: DataFrame, held: DataFrame, free: DataFrame, counted: Data
     return out.select("uprn", F.when(F.col("c").isNotNull(), "council").otherwise("fallback").alias("origin"), F.coalesce("c.council_fid", "anchor").alias("parcel"), F.coalesce("c.carea", "area").alias("area"))
 
 
-QUERIES["anchor_workflow"] = anchor_workflow
-ORACLES["anchor_workflow"] = sql(P, U, R, CNT, E, """SINGLE AS (SELECT council_fid, min(clean_fid) AS anchor FROM (SELECT r.council_fid, p.clean_fid FROM P p JOIN CNT c ON c.clean_fid = p.clean_fid JOIN R r ON
-  greatest(0.0, least(p.xmax,r.xmax)-greatest(p.xmin,r.xmin))*greatest(0.0, least(p.ymax,r.ymax)-greatest(p.ymin,r.ymin)) >= 90 WHERE c.n = 2) GROUP BY 1 HAVING count(DISTINCT clean_fid) = 1)""",
-  """OWN AS (SELECT anchor, sum(area) AS added FROM (SELECT e.a AS zero, e.b AS anchor, p.area, e.len/q.perimeter AS ratio, row_number() OVER (PARTITION BY e.a ORDER BY e.len/q.perimeter DESC, e.len DESC, e.b) AS rn
-  FROM (SELECT a, b, len FROM E UNION ALL SELECT b, a, len FROM E) e JOIN P p ON p.clean_fid = e.a JOIN P q ON q.clean_fid = e.b JOIN CNT ca ON ca.clean_fid = e.a JOIN CNT cb ON cb.clean_fid = e.b WHERE ca.n = 0 AND cb.n > 0 AND e.len >= 0.5) WHERE rn = 1 AND ratio >= 0.2 GROUP BY 1)""",
-  """PT AS (SELECT uprn, clean_fid AS anchor, area FROM (SELECT u.uprn, p.clean_fid, p.area, row_number() OVER (PARTITION BY u.uprn ORDER BY p.area, p.clean_fid) AS rn FROM U u JOIN P p ON u.x BETWEEN xmin AND xmax AND u.y BETWEEN ymin AND ymax) WHERE rn = 1)""",
-  body="""SELECT uprn, CASE WHEN s.c IS NOT NULL THEN 'council' ELSE 'fallback' END AS origin, coalesce(s.c, PT.anchor) AS parcel, CASE WHEN s.c IS NOT NULL THEN 8000.0 ELSE PT.area + coalesce(OWN.added, 0) END AS area
-FROM PT LEFT JOIN OWN ON OWN.anchor = PT.anchor LEFT JOIN (SELECT anchor, min(council_fid) AS c FROM SINGLE GROUP BY 1) s ON s.anchor = PT.anchor""")
 QUERIES["anchor_workflow_all"] = anchor_workflow_all
 ORACLES["anchor_workflow_all"] = sql(P, U, L, CNT, E, """SINGLE AS (SELECT council_fid, min(clean_fid) AS anchor FROM (SELECT l.council_fid, p.clean_fid FROM P p JOIN CNT c ON c.clean_fid = p.clean_fid JOIN L l ON p.xmin < l.xmax AND l.xmin < p.xmax AND p.ymin < l.ymax AND l.ymin < p.ymax
   AND (least(p.xmax,l.xmax)-greatest(p.xmin,l.xmin))*(least(p.ymax,l.ymax)-greatest(p.ymin,l.ymin)) >= 90 WHERE c.n > 0) GROUP BY 1 HAVING count(*) = 1)""",
