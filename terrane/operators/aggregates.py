@@ -76,7 +76,8 @@ def confusion(df: DataFrame, label: str, proba: str, threshold: float) -> DataFr
 
 
 def curve(df: DataFrame, label: str, proba: str) -> DataFrame:
-    """(threshold, tp, fp, precision, recall) at each distinct score. Scores are counted first, so the ordered
+    """(threshold, tp, fp, precision, recall, all_p, tp_here, fp_here) at each distinct score; the last two are the rows of
+    that score alone. Scores are counted first, so the ordered
     window runs over distinct scores, in ranges; a global running sum is put together from the sums of the ranges."""
     per = df.groupBy(F.col(proba).alias("threshold")).agg(F.sum(F.col(label).cast("bigint")).alias("p"), F.count("*").alias("n"))
     ranged = per.withColumn("_part", F.floor(F.col("threshold") * 64))
@@ -88,24 +89,21 @@ def curve(df: DataFrame, label: str, proba: str) -> DataFrame:
     run = ranged.join(before, "_part").withColumn("tp", F.col("p0") + F.sum("p").over(w)).withColumn("seen", F.col("n0") + F.sum("n").over(w))
     return run.crossJoin(F.broadcast(total)).select(  # one row
         "threshold", "tp", (F.col("seen") - F.col("tp")).alias("fp"), (F.col("tp") / F.col("seen")).alias("precision"),
-        F.when(F.col("all_p") == 0, 0.0).otherwise(F.col("tp") / F.col("all_p")).alias("recall"), "all_p",
+        F.when(F.col("all_p") == 0, 0.0).otherwise(F.col("tp") / F.col("all_p")).alias("recall"), "all_p", F.col("p").alias("tp_here"), (F.col("n") - F.col("p")).alias("fp_here"),
     )
 
 
 def average_precision(points: DataFrame) -> DataFrame:
     """Sum of precision times the step of recall over falling thresholds (positives of one score step together)."""
-    return points.withColumn("_step", F.col("recall") - F.coalesce(F.lag("recall").over(Window.orderBy(F.desc("threshold"))), F.lit(0.0))).agg(
-        F.sum(F.col("precision") * F.col("_step")).alias("average_precision")
-    )
+    step = F.when(F.col("all_p") == 0, 0.0).otherwise(F.col("tp_here") / F.col("all_p"))
+    return points.agg(F.sum(F.col("precision") * step).alias("average_precision"))
 
 
 def roc_auc(df: DataFrame, label: str, proba: str) -> DataFrame:
-    """Area under the curve from counts per distinct score, ties counted half."""
-    pts = curve(df, label, proba)
-    prev = Window.orderBy(F.desc("threshold"))
-    step = pts.withColumn("_tp0", F.coalesce(F.lag("tp").over(prev), F.lit(0))).withColumn("_fp0", F.coalesce(F.lag("fp").over(prev), F.lit(0)))
-    area = F.sum((F.col("fp") - F.col("_fp0")) * (F.col("tp") + F.col("_tp0")) / 2.0)
-    return step.agg(area.alias("a"), F.max("tp").alias("p"), F.max("fp").alias("n")).select((F.col("a") / (F.col("p") * F.col("n"))).alias("roc_auc"))
+    """Area under the curve from counts per distinct score, ties counted half. Every point knows the step that leads to it, so
+    nothing is ordered beyond the ranges of :func:`curve`."""
+    area = F.sum(F.col("fp_here") * (2 * F.col("tp") - F.col("tp_here")) / 2.0)
+    return curve(df, label, proba).agg(area.alias("a"), F.max("tp").alias("p"), F.max("fp").alias("n")).select((F.col("a") / F.nullif(F.col("p") * F.col("n"), F.lit(0))).alias("roc_auc"))
 
 
 def pick_thresholds(points: DataFrame, least_precision: float, least_recall: float) -> DataFrame:

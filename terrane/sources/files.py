@@ -5,15 +5,17 @@ the commit protocol of Spark makes each rewrite atomic."""
 
 from __future__ import annotations
 
+import os
 from functools import reduce
-from glob import glob
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from terrane.operators.selection import numbered
+from terrane.session import listing
+
 #: Names under which coordinates are looked for, in this order.
 X_NAMES = ("x_27700", "x", "easting", "eastings", "x_coord", "lon", "longitude", "long")
 Y_NAMES = ("y_27700", "y", "northing", "northings", "y_coord", "lat", "latitude", "lat_dd")
@@ -21,7 +23,7 @@ Y_NAMES = ("y_27700", "y", "northing", "northings", "y_coord", "lat", "latitude"
 
 def read_points(spark: SparkSession, path: str, x: str | None = None, y: str | None = None) -> DataFrame:
     """(x, y, ...) from CSV, JSON lines, GeoJSON or Parquet; rows without finite numbers are left out."""
-    kind = Path(path).suffix.lower()
+    kind = os.path.splitext(path)[1].lower()
     if kind == ".geojson":
         g = read_geojson(spark, path).where("geometry.type = 'Point'")
         rows = g.select(F.get_json_object("coordinates", "$[0]").alias("x"), F.get_json_object("coordinates", "$[1]").alias("y"), "properties")
@@ -75,7 +77,8 @@ def read_candidates(spark: SparkSession, sources: str, schema: StructType | str)
     found: list[str] = []
     for part in (p.strip() for p in sources.split(",")):
         if part:
-            found += sorted(glob(part + "/*.csv")) if Path(part).is_dir() else sorted(glob(part)) or [part]
+            names = [name for name, _, _ in listing(spark, part)]
+            found += names if len(names) == 1 else [n for n in names if n.endswith((".csv", ".csv.gz"))] or [part]
     return spark.read.csv(list(dict.fromkeys(found)), header=True, schema=schema)
 
 
@@ -115,10 +118,8 @@ def stable_ids(new: DataFrame, old: DataFrame, key: str, fid: str) -> DataFrame:
     known = new.join(old.select(key, fid), key, "left")
     top = old.agg(F.coalesce(F.max(fid), F.lit(0)).alias("top")).first()["top"]
     fresh = known.where(F.col(fid).isNull()).drop(fid)
-    parts = fresh.repartitionByRange(key).withColumn("_p", F.spark_partition_id())
-    before = parts.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = parts.join(F.broadcast(before.select("_p", "_base")), "_p").withColumn(fid, (F.lit(top) + F.col("_base") + F.row_number().over(Window.partitionBy("_p").orderBy(key))).cast("bigint"))
-    return known.where(F.col(fid).isNotNull()).unionByName(numbered.drop("_p", "_base"))
+    fresh = numbered(fresh, [key], fid).withColumn(fid, (F.col(fid) + F.lit(top) + 1).cast("bigint"))
+    return known.where(F.col(fid).isNotNull()).unionByName(fresh)
 
 
 def error_cases(df: DataFrame, split: str, label: str, proba: str, key: str, n: int) -> DataFrame:
