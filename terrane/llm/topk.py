@@ -4,6 +4,10 @@ Method: a mergeable aggregation that keeps a heap of at most N items per group.
 shuffle (one bounded heap per group and task) and the heaps are merged after it, so a group of any
 size sends at most N items a task. Items compare by score, then further keys, then identifier.
 
+``collect_top_k`` is an internal function of Spark 4.1; a test holds it to a brute force. Beyond
+``spark.sql.objectHashAggregate.sortBased.fallbackThreshold`` groups in a task (128 by default) Spark sorts
+the rest by group before merging; a session that keeps many groups in memory may raise it.
+
 Defined results
 - a null or NaN score or a null group takes no place; a null second key counts as the lowest;
 - of several rows of one identifier the newest counts (of equally new ones the greatest row);
