@@ -186,9 +186,16 @@ def label_assignment(spark, d):
     return features.label_candidates(p, "m", "r", "w").select("clean_fid", "label", "label_source", "sample_weight")
 
 
-@query()
+@query(sql(P, E, "W AS (SELECT a, b FROM E WHERE len > 0 UNION ALL SELECT b, a FROM E WHERE len > 0)",
+           "T AS (SELECT CAST(a AS VARCHAR) || '-' || CAST(b AS VARCHAR) AS target, [a, b] AS ids FROM E WHERE len > 0 UNION ALL SELECT 's' || CAST(source_fid AS VARCHAR), list_sort(list(clean_fid)) FROM P GROUP BY source_fid)",
+           "X AS (SELECT target, ids, x.v, w.b FROM (SELECT target, ids, unnest(ids) AS v FROM T) x JOIN W w ON w.a = x.v WHERE NOT list_contains(ids, w.b))",
+           body="""SELECT target, kind, array_to_string(ids, '|') AS ids FROM (
+  SELECT target, 'omit' AS kind, list_filter(ids, lambda x: x <> v) AS ids FROM (SELECT target, ids, unnest(ids) AS v FROM T WHERE len(ids) > 1)
+  UNION ALL SELECT DISTINCT target, 'overmerge', list_sort(list_append(ids, b)) FROM X
+  UNION ALL SELECT DISTINCT target, 'replace', list_sort(list_append(list_filter(ids, lambda x: x <> v), b)) FROM X WHERE len(ids) > 1
+  UNION ALL SELECT target, 'subset', list_filter(ids, lambda x, i: (mask >> (i - 1)::INTEGER) & 1 = 1) FROM (SELECT target, ids, unnest(generate_series(1, (2 ** len(ids))::INTEGER - 2))::INTEGER AS mask FROM T WHERE len(ids) > 2) WHERE bit_count(mask) <= len(ids) - 2)"""))
 def hard_negatives_all(spark, d):
-    """Every negative of every kind, row by row; the targets are all pairs with a common border and all source groups (no oracle)."""
+    """Every negative of every kind, row by row; the targets are all pairs with a common border and all source groups."""
     e = _short(_edges(spark, d))
     pairs = e.select(F.concat_ws("-", "a", "b").alias("target"), F.array("a", "b").alias("ids"))
     groups = fx.parcels(spark, d).groupBy("source_fid").agg(F.array_sort(F.collect_set("clean_fid")).alias("ids")).select(F.concat(F.lit("s"), "source_fid").alias("target"), "ids")
