@@ -5,19 +5,92 @@ rows of an anchor bounded, and anchors are spread over tasks."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrane.operators.selection import numbered
 from terrane.session import Scratch
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b", "len").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "len"))
 
 
+#: Edges that one task joins at once; a graph of no more is done in one task.
+CHUNK = 500_000
+#: Share of its edges that a level of stars may leave; beyond it labels are spread in rounds.
+MOST_LEFT = 0.7
+
+
 def component_labels(edges: DataFrame, vertices: DataFrame, scratch: Scratch) -> DataFrame:
-    """(v, component): the smallest vertex linked directly or indirectly. Labels spread by neighbours and by jumping
+    """(v, component): the smallest vertex linked directly or indirectly. Every task joins the edges of a range of
+    vertices into stars round their smallest vertex; vertices that stand in several stars link these, and the links are
+    the edges of the next, smaller graph. Where a graph hardly shrinks so, labels are spread in rounds instead."""
+    kind = vertices.schema["v"].dataType
+    a, b = F.col("a").cast(kind), F.col("b").cast(kind)
+    pairs = scratch.put(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b"), "pairs0")
+    left, maps = pairs.count(), []
+    while left:
+        r = len(maps)
+        tasks = 1 if left <= CHUNK else max(math.ceil(left / CHUNK), int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        spread = pairs.coalesce(1) if tasks == 1 else pairs.repartitionByRange(tasks, "a")
+        stars = scratch.put(spread.mapInPandas(_stars, T.StructType([T.StructField("v", kind), T.StructField("low", kind)])), f"stars{r}")
+        held = scratch.put(stars.groupBy("v").agg(F.min("low").alias("low"), F.collect_set("low").alias("lows")), f"held{r}")
+        maps.append(held.select("v", "low"))
+        links = held.where(F.size("lows") > 1).select(F.col("low").alias("a"), F.explode("lows").alias("b")).where("a < b").distinct()
+        pairs, before = scratch.put(links, f"pairs{r + 1}"), left
+        left = pairs.count()
+        if left > CHUNK and left > MOST_LEFT * before:
+            ends = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v")))
+            maps.append(_spread_labels(pairs, ends, scratch).withColumnRenamed("component", "low"))
+            break
+    out = vertices.select("v").distinct().withColumn("component", F.col("v"))
+    for m in maps:
+        out = out.join(m.select(F.col("v").alias("component"), F.col("low").alias("_low")), "component", "left").select("v", F.coalesce("_low", "component").alias("component"))
+    return scratch.put(out, "labels")
+
+
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(v, low) of the vertices of edges (a, b), low being the smallest vertex they hang together with here; beyond CHUNK
+    vertices it starts anew, which is as good as another task."""
+    import pandas as pd
+
+    up: dict = {}
+
+    def root(v):
+        while up[v] != v:
+            up[v] = v = up[up[v]]
+        return v
+
+    def stars() -> pd.DataFrame:
+        return pd.DataFrame({"v": list(up), "low": [root(v) for v in up]})
+
+    for batch in batches:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            up.setdefault(a, a)
+            up.setdefault(b, b)
+            x, y = root(a), root(b)
+            if x < y:
+                up[y] = x
+            elif y < x:
+                up[x] = y
+        if len(up) > CHUNK:
+            yield stars()
+            up.clear()
+    if up:
+        yield stars()
+
+
+def _spread_labels(edges: DataFrame, vertices: DataFrame, scratch: Scratch) -> DataFrame:
+    """As :func:`component_labels`, for graphs that do not shrink by stars. Labels spread by neighbours and by jumping
     to the label of the label, so long chains take few rounds; every round is a written table."""
     ends = both_ways(edges.withColumn("len", F.lit(0.0)) if "len" not in edges.columns else edges).select("a", "b").distinct()
     ends = scratch.put(ends, "ends")
@@ -33,7 +106,7 @@ def component_labels(edges: DataFrame, vertices: DataFrame, scratch: Scratch) ->
             scratch.drop(f"labels{r - 2}")
         if not changed:
             return labels
-    raise RuntimeError("component_labels: no end")
+    raise RuntimeError("_spread_labels: no end")
 
 
 def dense_ids(labels: DataFrame) -> DataFrame:

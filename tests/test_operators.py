@@ -122,3 +122,33 @@ def test_runner(spark, tmp_path):
     assert json.loads((tmp_path / first["signature"] / "summary.json").read_text())["stages"][1]["rows"] == 2
     assert runner.run_stages(spark, stages, str(tmp_path), {"a": 2}, dry=True)["stages"][0]["state"] == "dry"
     assert runner.extrapolate(10, 100, 1000) == 100 and runner.forbidden_tokens("a council_iou b", ["IOU", "zz"]) == ["IOU"]
+
+
+def test_component_labels_in_levels(spark, monkeypatch):
+    """A graph of more edges than one task joins, in ranges and, where stars hardly shrink it, in rounds; a long chain needs few tables."""
+    edges = [(RND.randrange(900), RND.randrange(900)) for _ in range(500)] + [(2000 + i, 2001 + i) for i in range(300)] + [(5, 5)]
+    df = spark.createDataFrame([(a, b) for a, b in edges] + [(None, 7)], "a long, b long")
+    vertices = sorted({v for e in edges for v in e} | {9999})
+    v, want = spark.createDataFrame([(x,) for x in vertices], "v long"), _union_find(edges, vertices)
+    for chunk, spread in ((40, True), (40, False), (graph.CHUNK, False)):
+        monkeypatch.setattr(graph, "CHUNK", chunk)
+        used = []
+        if spread:
+            monkeypatch.setattr(graph, "MOST_LEFT", 0.0)
+            monkeypatch.setattr(graph, "_spread_labels", lambda *a, f=graph._spread_labels: used.append(1) or f(*a))
+        else:
+            monkeypatch.undo()
+            monkeypatch.setattr(graph, "CHUNK", chunk)
+        assert {r["v"]: r["component"] for r in graph.component_labels(df, v, Scratch(spark, "t")).collect()} == want
+        assert bool(used) == spread
+
+
+def test_component_labels_of_a_chain(spark):
+    """Few jobs for a chain, which took two or three a round before."""
+    n = 3000
+    df, tables = spark.createDataFrame([((i * 7919) % n, ((i + 1) * 7919) % n) for i in range(n - 1)], "a long, b long"), []
+    scratch = Scratch(spark, "t")
+    put = scratch.put
+    scratch.put = lambda frame, name: tables.append(name) or put(frame, name)
+    got = graph.component_labels(df, spark.range(n).withColumnRenamed("id", "v"), scratch)
+    assert got.where("component <> 0").isEmpty() and got.count() == n and len(tables) <= 6
