@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions.exprs import exclude_reason, ratio_or_zero, safe_ratio
+from terrane.operators.graph import bucket
 from terrane.operators.joins import first_by
 from terrane.session import Scratch
 
@@ -184,16 +185,14 @@ def best_split(members: DataFrame, edges: DataFrame) -> DataFrame:
     """(component, v, part): components of any size with several seeds are cut into one part per seed.
 
     ``members`` is (component, v, seed); every other member joins the part it shares most border with, strongest border
-    first (then the smaller v, then the smaller part). ``edges`` is (component, a, b, len). One component is cut in one
-    worker, with a heap, so the time grows with its edges and not with their square."""
+    first (then the smaller v, then the smaller part). ``edges`` is (component, a, b, len). A worker cuts many components,
+    each whole, with a heap, so the time grows with their edges and not with their square."""
 
-    def split(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def split(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
             return pd.DataFrame({"component": [], "v": [], "part": []}, dtype="int64")
+        of = dict(zip(left["v"], left["component"], strict=True))
         part = {v: v for v, s in zip(left["v"], left["seed"], strict=True) if s}
-        if len(part) < 2:
-            only = min(left["v"])
-            return pd.DataFrame({"component": key[0], "v": left["v"], "part": only})
         near: dict[int, list[tuple[int, float]]] = {}
         for a, b, n in zip(right["a"], right["b"], right["len"], strict=True):
             near.setdefault(a, []).append((b, n))
@@ -216,14 +215,17 @@ def best_split(members: DataFrame, edges: DataFrame) -> DataFrame:
                 part[v] = p
                 todo.discard(v)
                 spread(v)
-        least = min(part.values())
-        part.update(dict.fromkeys(todo, least))
-        return pd.DataFrame({"component": key[0], "v": list(part), "part": list(part.values())})
+        least: dict[int, int] = {}
+        for p in part.values():
+            least[of[p]] = min(p, least.get(of[p], p))
+        part.update((v, least[of[v]]) for v in todo)
+        return pd.DataFrame({"component": [of[v] for v in part], "v": list(part), "part": list(part.values())})
 
-    several = members.where("seed").groupBy("component").agg(F.count("*").alias("_n")).where("_n > 1").select("component")
+    several = members.where("seed").groupBy("component").agg(F.countDistinct("v").alias("_n")).where("_n > 1").select("component")
     alone = members.join(several, "component", "left_anti").withColumn("part", F.min("v").over(Window.partitionBy("component"))).select("component", "v", "part")
     members, edges = members.join(several, "component", "left_semi"), edges.join(several, "component", "left_semi")
-    return alone.unionByName(members.groupBy("component").cogroup(edges.groupBy("component")).applyInPandas(split, "component long, v long, part long"))
+    at = bucket(edges, "component")
+    return alone.unionByName(members.groupBy(at).cogroup(edges.groupBy(at)).applyInPandas(split, "component long, v long, part long"))
 
 
 def refine(seeds: DataFrame, pool: DataFrame, score: str = "gain") -> DataFrame:

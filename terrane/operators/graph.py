@@ -234,43 +234,52 @@ def group_connected(groups: DataFrame, edges: DataFrame, key: list[str], ids: st
 
 
 def bridges(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) of edges whose removal splits their component, found inside small components by leaving each edge out."""
+    """(a, b) of edges whose removal splits their component, by a low-link search; a task searches many components."""
     vertices = both_ways(edges).select(F.col("a").alias("v"))
     labels = component_labels(edges, vertices, Scratch(scratch.spark, "bridge-components"))
     e = scratch.put(edges.select("a", "b").join(labels.withColumnRenamed("v", "a"), "a"), "component-edges")
-    return e.groupBy("component").applyInPandas(_bridges_of, "a long, b long")
+    return e.groupBy(bucket(e, "component")).applyInPandas(_bridges_of, "a long, b long")
+
+
+def bucket(edges: DataFrame, key: str) -> Column:
+    """A number by the hash of a key, of so many that a task has work for more than one key."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(max(math.ceil(edges.count() / CHUNK), int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
 
 
 def _bridges_of(pdf):
-    """Low-link search over one component (iterative)."""
+    """Low-link search over whole components (iterative)."""
     import pandas as pd
 
     near: dict[int, list[tuple[int, int]]] = {}
     for i, (a, b) in enumerate(zip(pdf["a"], pdf["b"], strict=True)):
         near.setdefault(a, []).append((b, i))
         near.setdefault(b, []).append((a, i))
-    root = next(iter(near))
-    seen, low, out, clock = {root: 0}, {root: 0}, [], 1
-    stack = [(root, -1, iter(near[root]))]
-    while stack:
-        v, via, todo = stack[-1]
-        for w, i in todo:
-            if i == via:
-                continue
-            if w in seen:
-                low[v] = min(low[v], seen[w])
+    seen, low, out, clock = {}, {}, [], 0
+    for root in near:
+        if root in seen:
+            continue
+        seen[root] = low[root] = clock
+        clock += 1
+        stack = [(root, -1, iter(near[root]))]
+        while stack:
+            v, via, todo = stack[-1]
+            for w, i in todo:
+                if i == via:
+                    continue
+                if w in seen:
+                    low[v] = min(low[v], seen[w])
+                else:
+                    seen[w] = low[w] = clock
+                    clock += 1
+                    stack.append((w, i, iter(near[w])))
+                    break
             else:
-                seen[w] = low[w] = clock
-                clock += 1
-                stack.append((w, i, iter(near[w])))
-                break
-        else:
-            stack.pop()
-            if stack:
-                u = stack[-1][0]
-                low[u] = min(low[u], low[v])
-                if low[v] > seen[u]:
-                    out.append((min(u, v), max(u, v)))
+                stack.pop()
+                if stack:
+                    u = stack[-1][0]
+                    low[u] = min(low[u], low[v])
+                    if low[v] > seen[u]:
+                        out.append((min(u, v), max(u, v)))
     return pd.DataFrame(out, columns=["a", "b"])
 
 

@@ -152,3 +152,18 @@ def test_component_labels_of_a_chain(spark):
     scratch.put = lambda frame, name: tables.append(name) or put(frame, name)
     got = graph.component_labels(df, spark.range(n).withColumnRenamed("id", "v"), scratch)
     assert got.where("component <> 0").isEmpty() and got.count() == n and len(tables) <= 6
+
+
+def test_bridges_of_many_components_at_once(spark):
+    """Components share tasks: far fewer calls than components, and the same bridges."""
+    chains = [(10 * c + i, 10 * c + i + 1) for c in range(60) for i in range(3)] + [(10 * c, 10 * c + 2) for c in range(0, 60, 2)]
+    df = spark.createDataFrame([(a, b, 1.0) for a, b in chains], "a long, b long, len double")
+    want = {(10 * c + i, 10 * c + i + 1) for c in range(60) for i in range(3) if c % 2 or i == 2}
+    found = graph.bridges(df, Scratch(spark, "t"))
+    assert {(r["a"], r["b"]) for r in found.collect()} == want
+    groups = df.groupBy(graph.bucket(df, "a")).count().count()
+    assert groups <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    import pandas as pd
+
+    whole = graph._bridges_of(pd.DataFrame(chains, columns=["a", "b"]))
+    assert set(whole.itertuples(index=False, name=None)) == want
