@@ -27,7 +27,8 @@ def anchors(points: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFrame
 def anchor_workflow_all(spark: SparkSession, d: str) -> DataFrame:
     """(uprn, origin, parcel, area): the council parcel where it has exactly one anchor, else the anchor with what it owns."""
     parcels, points = fx.parcels(spark, d), fx.uprns(spark, d)
-    held, free = anchors(points, parcels)
+    scratch = Scratch(spark, "anchors")
+    held, free = (scratch.put(df, name) for df, name in zip(anchors(points, parcels), ("held", "free"), strict=True))
     return _assigned(points, held, free, held, fx.plots(spark, d))
 
 

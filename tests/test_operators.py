@@ -167,3 +167,11 @@ def test_bridges_of_many_components_at_once(spark):
 
     whole = graph._bridges_of(pd.DataFrame(chains, columns=["a", "b"]))
     assert set(whole.itertuples(index=False, name=None)) == want
+
+
+def test_anchor_workflow_counts_points_once(spark):
+    """The plan reads counted parcels from written tables and does not count the points again for each use."""
+    from terrane.plans import workflow
+
+    plan = workflow.anchor_workflow_all(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert "count(distinct uprn" not in plan.lower()
